@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from heliograph.plans import retrieval
+
+_MODULES = [retrieval]
+
 
 def queries():
-    return {}
+    return {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 
 
 def oracle_sql():
-    return {}
+    return {k: v for m in _MODULES for k, v in m.SQL.items()}
