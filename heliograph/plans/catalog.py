@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from heliograph.plans import retrieval
+from heliograph.plans import lifecycle, relational, retrieval
 
-_MODULES = [retrieval]
+_MODULES = [retrieval, relational, lifecycle]
 
 
 def queries():
