@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from heliograph.plans import lifecycle, relational, retrieval
+from heliograph.plans import lifecycle, relational, retrieval, texts
 
-_MODULES = [retrieval, relational, lifecycle]
+_MODULES = [retrieval, relational, lifecycle, texts]
 
 
 def queries():
