@@ -30,7 +30,6 @@ _CLASSES = {
     "digit": b"0123456789", "pipe": b"|", "wide": bytes(range(128, 256)),
 }
 _TABLES = {k: np.isin(np.arange(256), list(v)).astype(np.uint8) for k, v in _CLASSES.items()}
-_CLOSING = np.isin(np.arange(256), list(b".!?;:\"')"))
 _SHARED = [1, 2, 3, 4, 5, 6, 7, 9]  # features that the neighbours lend
 N_FEATURES = 11 + 2 * len(_SHARED) + 2
 
@@ -60,7 +59,7 @@ def line_features(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
         (count["upper"] > 0.6 * letters).astype(np.float32),
         np.log1p(size) / 6,
         (size == 0).astype(np.float32),
-        1 - _CLOSING[data[np.maximum(ends - 1, 0)]].astype(np.float32),
+        np.minimum(1, repeats / 8),
     ], axis=1).astype(np.float32)
     doc = textvec.owner(begins, starts)
     first = np.ones(len(ends), bool)

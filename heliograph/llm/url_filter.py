@@ -32,6 +32,7 @@ UNWANTED_HOSTS = (
     "ads-track.net adult-x.com ad-track.io adult-video.net adult-chat.org bets-online.com best-casino.org "
     "casino-win.com casino-royal.net cheap-pills.com cheap-meds.net cheap-viagra.org click-track.com "
     "free-bets.com free-casino.io free-pills.net hot-adult.com link-farm.net live-bets.org lucky-casino.com "
+    "adult-x.net ads-track.com spam-farm.net free-bets.org cheap-pills.net casino-win.org adult-site.com spam-mail.net "
     "online-pills.com pills-shop.org poker-bets.net porn-x.net spam-farm.com spam-links.org spam-track.net "
     "slots-win.io track-ads.com win-bets.com win-casino.net x-porn.com xxx-adult.org"
 ).split()
@@ -118,7 +119,7 @@ def train(spark: SparkSession, rows: list[tuple[str, int]] | None = None, max_ro
     hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=BUCKETS, binary=True)
     learner = LogisticRegression(
         featuresCol="_features", labelCol="label", rawPredictionCol="_raw", probabilityCol="_probability",
-        predictionCol="_prediction", maxIter=40, regParam=0.01, standardization=False,
+        predictionCol="_prediction", maxIter=100, regParam=0.001, standardization=False,
     )
     fitted = learner.fit(hashing.transform(with_grams(_split(data))))
     return PipelineModel([hashing, fitted])
