@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from heliograph.functions import terms
 from heliograph.operators import retrieval as R
 from heliograph.plans.base import WORKS_SQL, applicants, table, works
+from heliograph.runtime import saved
 from heliograph.plans.sqlterms import cosine_sql, index_sql, tokens_cte, unit_cte, vector_cte
 
 _ITEMS = "SELECT item_id, text FROM benchmark"
@@ -72,7 +73,8 @@ def career_centroids(spark, d):
 
 
 def hybrid_retrieval(spark, d):
-    return R.hybrid(terms.encoded(applicants(spark, d), "item_id"), _encoded(spark, d), works(spark, d), 10, 3).select("item_id", "person_id", "score")
+    vectors = saved(_encoded(spark, d), "work-vectors")  # both stages read them
+    return R.hybrid(terms.encoded(applicants(spark, d), "item_id"), vectors, works(spark, d), 10, 3).select("item_id", "person_id", "score")
 
 
 def paper_top3(spark, d):
