@@ -60,7 +60,7 @@ def claim_visibility(spark, d):
 
 
 def refresh_states(spark, d):
-    e = table(spark, d, "events").where("user_id % 5 = 0").select("event_id", "user_id", F.struct("ts", "event_id").alias("at"), F.col("event_type").alias("body"), (F.col("value") > 30).alias("ok"))
+    e = table(spark, d, "events").select("event_id", "user_id", F.struct("ts", "event_id").alias("at"), F.col("event_type").alias("body"), (F.col("value") > 30).alias("ok"))
     out = L.refresh_states(e, "user_id", "at", "body", "ok")
     return out.select("event_id", "changed", F.col("last_success.event_id").alias("last_success"))
 
@@ -132,7 +132,7 @@ def email_verdicts(spark, d):
 
 def contact_verdicts(spark, d):
     li = table(spark, d, "lineitem").select("l_suppkey", (F.col("l_linestatus") == "O").alias("official"), (F.col("l_tax") < 0.07).alias("aligned"), F.when(F.col("l_linenumber") == 1, "person_local").otherwise("ambiguous_email").alias("association"))
-    return I.contact_confidence(li.where("l_suppkey % 3 = 0"), "l_suppkey")
+    return I.contact_confidence(li, "l_suppkey")
 
 
 QUERIES = {f.__name__: f for f in (
@@ -154,7 +154,7 @@ SQL = {
       SELECT user_id, CASE WHEN added THEN 'added' WHEN removed THEN 'removed' ELSE 'changed' END AS change, CASE WHEN added OR removed THEN '' ELSE x END AS changed_fields FROM j WHERE added OR removed OR x <> ''""",
     "claim_visibility": "SELECT l_partkey AS fingerprint_id, bool_or(l_returnflag = 'A') AS visible FROM lineitem GROUP BY 1",
     "refresh_states": """SELECT event_id, coalesce(lag(event_type) OVER w <> event_type, true) AS changed, last_value(CASE WHEN value > 30 THEN event_id END IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS last_success
-      FROM events WHERE user_id % 5 = 0 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
     "watermark_delta": "SELECT event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-26 00:00:00' GROUP BY 1",
     "dirty_queue": """WITH q AS (SELECT DISTINCT user_id::VARCHAR AS e FROM events WHERE (event_type = 'view' OR event_id % 3 = 0) AND value < 10)
       SELECT user_id::VARCHAR AS entity_id, event_type AS reason, event_id AS created_at FROM events WHERE event_id % 4 = 0 AND user_id::VARCHAR NOT IN (SELECT e FROM q)
@@ -173,7 +173,7 @@ SQL = {
     "alias_resolution": "SELECT c_custkey AS alias, least((c_custkey // 16 + 1) * 16, (SELECT max(c_custkey) + 1 FROM customer)) AS canonical FROM customer WHERE c_custkey % 16 <> 0",
     "email_verdicts": """SELECT CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'R' THEN 'official_domain_aligned' WHEN l_linestatus = 'O' THEN 'official_source_domain_conflict' WHEN l_returnflag <> 'R' THEN 'aligned_domain_third_party_source' ELSE 'unverified_email' END AS verdict,
       count(*) AS n, max(CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'R' THEN 0.95 WHEN l_linestatus = 'O' THEN 0.55 WHEN l_returnflag <> 'R' THEN 0.45 ELSE 0.25 END)::DOUBLE AS confidence FROM lineitem GROUP BY 1""",
-    "contact_verdicts": """WITH f AS (SELECT l_suppkey, bool_or(l_linestatus = 'O' AND l_tax < 0.07 AND l_linenumber = 1) AS lo, bool_or(l_linestatus = 'O' AND l_tax < 0.07) AS al, bool_or(l_linestatus = 'O' AND l_tax >= 0.07) AS co FROM lineitem WHERE l_suppkey % 3 = 0 GROUP BY 1),
+    "contact_verdicts": """WITH f AS (SELECT l_suppkey, bool_or(l_linestatus = 'O' AND l_tax < 0.07 AND l_linenumber = 1) AS lo, bool_or(l_linestatus = 'O' AND l_tax < 0.07) AS al, bool_or(l_linestatus = 'O' AND l_tax >= 0.07) AS co FROM lineitem GROUP BY 1),
       c AS (SELECT *, CASE WHEN lo THEN 'high' WHEN al THEN 'medium' ELSE 'low' END AS k FROM f)
       SELECT l_suppkey, k AS contact_confidence, k AS affiliation_confidence, CASE WHEN co THEN 'current_affiliation_conflict' WHEN k = 'high' THEN 'high_confidence_contactable' ELSE 'stale_risk' END AS verdict FROM c""",
 }

@@ -102,8 +102,8 @@ def works_per_person(spark, d):
 
 
 def max_updated(spark, d):
-    li = table(spark, d, "lineitem").where("l_suppkey between 1 and 5")
-    return li.groupBy("l_suppkey").agg(F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("watermark"))
+    observed = table(spark, d, "supplier").where("s_acctbal < 0").select(F.col("s_suppkey").alias("l_suppkey"))
+    return table(spark, d, "lineitem").join(observed, "l_suppkey", "left_semi").groupBy("l_suppkey").agg(F.date_format(F.max("l_shipdate"), "yyyy-MM-dd").alias("watermark"))
 
 
 def institution_quality_report(spark, d):
@@ -200,12 +200,12 @@ def institution_counts_rollup(spark, d):
 
 
 def evidence_unpivot(spark, d):
-    s = table(spark, d, "supplier").where("s_suppkey <= 50").select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("nation"))
+    s = table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("nation"))
     return s.unpivot(["s_suppkey"], ["s_name", "nation"], "field_name", "field_value").where("field_value is not null")
 
 
 def evidence_by_id_list(spark, d):
-    o = table(spark, d, "orders").where("o_custkey % 10 = 0").groupBy("o_custkey").agg(F.collect_set("o_orderkey").alias("ids"))
+    o = table(spark, d, "orders").where("o_orderpriority = '5-LOW'").groupBy("o_custkey").agg(F.collect_set("o_orderkey").alias("ids"))
     wanted = o.select(F.explode("ids").alias("l_orderkey")).distinct()
     return table(spark, d, "lineitem").join(wanted, "l_orderkey", "left_semi").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
 
@@ -278,7 +278,7 @@ SQL = {
     "publication_summary": "SELECT o_custkey, count(*) AS n, max(year(o_orderdate)) AS latest_year, count(*) FILTER (o_orderpriority = '1-URGENT') AS with_doi FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) OR EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'O') GROUP BY 1",
     "publications_top20": "SELECT l_suppkey, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC NULLS LAST, l_orderkey, l_linenumber) AS n FROM lineitem QUALIFY n <= 20",
     "works_per_person": "SELECT c_custkey, o_orderkey, o_orderstatus FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus IN ('O', 'P')",
-    "max_updated": "SELECT l_suppkey, strftime(max(l_shipdate), '%Y-%m-%d') AS watermark FROM lineitem WHERE l_suppkey IN (1, 2, 3, 4, 5) GROUP BY 1",
+    "max_updated": "SELECT l_suppkey, strftime(max(l_shipdate), '%Y-%m-%d') AS watermark FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 0) GROUP BY 1",
     "institution_quality_report": f"""WITH {_PEOPLE}, a AS (SELECT institution_id AS k, area, count(*) AS n FROM people WHERE area IS NOT NULL GROUP BY ALL),
       q AS (SELECT n_name, (SELECT count(*) FROM people WHERE institution_id = n_nationkey) AS people, (SELECT count(*) FROM people WHERE institution_id = n_nationkey AND {_CUR}) AS current,
         (SELECT area FROM a WHERE k = n_nationkey ORDER BY n DESC, area LIMIT 1) AS top_area, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS contacts,
@@ -303,8 +303,8 @@ SQL = {
     "same_name_groups": "SELECT p_brand, lower(trim(regexp_replace(p_name, '\\s+', ' ', 'g'))) AS name, count(DISTINCT p_partkey) AS n, min(p_partkey) AS least FROM part GROUP BY ALL HAVING count(DISTINCT p_partkey) > 1",
     "latency_p95": "SELECT event_type, round(quantile_cont(value, 0.95), 6) AS p95, count(*) AS n FROM events GROUP BY 1",
     "institution_counts_rollup": "SELECT n_regionkey, c_mktsegment, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ROLLUP (n_regionkey, c_mktsegment)",
-    "evidence_unpivot": "SELECT s_suppkey, 's_name' AS field_name, s_name AS field_value FROM supplier WHERE s_suppkey <= 50 UNION ALL SELECT s_suppkey, 'nation', s_nationkey::VARCHAR FROM supplier WHERE s_suppkey <= 50",
-    "evidence_by_id_list": "SELECT l_orderkey, count(*) AS lines FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey % 10 = 0) GROUP BY 1",
+    "evidence_unpivot": "SELECT s_suppkey, 's_name' AS field_name, s_name AS field_value FROM supplier UNION ALL SELECT s_suppkey, 'nation', s_nationkey::VARCHAR FROM supplier",
+    "evidence_by_id_list": "SELECT l_orderkey, count(*) AS lines FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '5-LOW') GROUP BY 1",
     "like_selection": "SELECT DISTINCT page_id FROM pages WHERE url ILIKE '%utm_source%' OR url ILIKE '%/en/1%'",
     "scope_selection": f"WITH {_PEOPLE} SELECT person_id FROM people WHERE institution_id = 3 AND (lower(area) LIKE '%build%' OR person_id IN (1, 2, 3))",
     "work_policy": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 5) OR (l_returnflag = 'R' AND l_linenumber = 1)",

@@ -85,7 +85,7 @@ def paper_top3(spark, d):
 
 
 def shared_terms(spark, d):
-    docs = table(spark, d, "documents").where("doc_id % 50 = 0").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return terms.shared_terms(terms.semantic_vectors(applicants(spark, d), "item_id"), "item_id", terms.semantic_vectors(docs, "doc_id"), "doc_id", 8)
 
 
@@ -116,7 +116,7 @@ def experiment_tfidf(spark, d):
 def inverse_document_frequencies(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     idf = terms.inverse_frequencies(terms.experiment_counts(docs, "doc_id"), "doc_id", F.lit(docs.count()))
-    return idf.where(F.length("term") <= 6).select("term", F.round("idf", 9).alias("idf"))
+    return idf.select("term", F.round("idf", 9).alias("idf"))
 
 
 def combined_query(spark, d):
@@ -202,7 +202,7 @@ SQL = {
     "paper_top3": f"""WITH {_WORKS}, {_ENC_D}, {_ENC_Q}, ps AS ({_PAPERS}), pt AS (SELECT item_id, person_id, score FROM ps JOIN works USING (doc_id)
         QUALIFY row_number() OVER (PARTITION BY item_id, person_id ORDER BY score DESC, doc_id) <= 3)
       SELECT item_id, person_id, sum(score::DECIMAL(18,6))::DOUBLE / least(3, max(n)) AS mean FROM pt JOIN (SELECT person_id, count(*) AS n FROM works GROUP BY 1) USING (person_id) GROUP BY ALL""",
-    "shared_terms": f"""WITH {vector_cte('qv', _ITEMS, 'item_id', 160)}, {vector_cte('dv', 'SELECT doc_id, text FROM documents WHERE doc_id % 50 = 0', 'doc_id', 160)},
+    "shared_terms": f"""WITH {vector_cte('qv', _ITEMS, 'item_id', 160)}, {vector_cte('dv', _DOCS, 'doc_id', 160)},
       b AS (SELECT item_id, doc_id, term, qv.weight + dv.weight AS weight FROM qv JOIN dv USING (term)
             QUALIFY row_number() OVER (PARTITION BY item_id, doc_id ORDER BY qv.weight + dv.weight DESC, term) <= 8)
       SELECT item_id, doc_id, string_agg(replace(term, '_', ' '), '; ' ORDER BY weight DESC, term) AS terms FROM b GROUP BY ALL""",
@@ -214,7 +214,7 @@ SQL = {
     "experiment_tfidf": f"""WITH {_COUNTS}, w AS (SELECT doc_id, term, (1 + ln(weight)) * idf AS weight FROM cnt JOIN idf USING (term)),
       v AS (SELECT doc_id, weight / sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)) AS weight FROM w WHERE weight <> 0)
       SELECT doc_id, count(*) AS features, round(sum(weight), 4) AS total, round(min(weight), 6) AS least FROM v GROUP BY 1""",
-    "inverse_document_frequencies": f"WITH {_COUNTS} SELECT term, round(idf, 9) AS idf FROM idf WHERE length(term) <= 6",
+    "inverse_document_frequencies": f"WITH {_COUNTS} SELECT term, round(idf, 9) AS idf FROM idf",
     "combined_query": f"""WITH {_ENC_Q} SELECT (item_id // 2) AS item_id, term, round(sum(weight * CASE WHEN item_id % 2 = 0 THEN 0.8::DOUBLE ELSE 1 - 0.8::DOUBLE END), 9) AS weight FROM q GROUP BY ALL""",
     "dense_topk": """WITH s AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE)), 6) AS score
       FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)

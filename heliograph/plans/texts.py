@@ -62,18 +62,19 @@ def name_parts(spark, d):
 
 
 def name_pairs(spark, d):
-    p = table(spark, d, "part").where("p_partkey <= 400").select("p_partkey", "p_brand", "p_name")
-    q = p.select(F.col("p_partkey").alias("other"), "p_brand", F.col("p_name").alias("other_name"))
-    return p.join(q, "p_brand").where("p_partkey < other").select("p_partkey", "other", S.name_similarity(F.col("p_name"), F.col("other_name")).alias("score")).where("score > 0")
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_name", F.explode(F.array_distinct(F.split(S.person_name(F.col("p_name")), " "))).alias("token"))
+    q = p.where("p_partkey % 20 = 0").select(F.col("p_partkey").alias("other"), "p_brand", F.col("p_name").alias("other_name"), "token")  # a stated query set
+    pairs = p.join(q, ["p_brand", "token"]).where("p_partkey <> other").select("p_partkey", "p_name", "other", "other_name").distinct()
+    return pairs.select("p_partkey", "other", S.name_similarity(F.col("p_name"), F.col("other_name")).alias("score")).where("score > 0")
 
 
 def topic_lists(spark, d):
-    t = table(spark, d, "documents").where("doc_id % 10 = 0").select("doc_id", S.topics(F.slice(F.split("text", r"[,.]"), 1, 6)).alias("t"))
+    t = table(spark, d, "documents").select("doc_id", S.topics(F.split("text", r"[,.]")).alias("t"))
     return t.select("doc_id", F.array_join("t", "|").alias("topics"))
 
 
 def department_names(spark, d):
-    return table(spark, d, "documents").where("doc_id % 10 = 1").select("doc_id", S.department(F.col("text")).alias("department"))
+    return table(spark, d, "documents").select("doc_id", S.department(F.col("text")).alias("department"))
 
 
 def meaningful_titles(spark, d):
@@ -90,7 +91,7 @@ def meaningful_titles_sql(spark, d):
 
 
 def name_findings(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.substring(F.split("text", "[.,\n]", 2)[0], 1, 60).alias("name"))
+    t = table(spark, d, "documents").select("doc_id", F.split("text", "[.,\n]", 2)[0].alias("name"))
     n = F.col("name")
     return t.select("doc_id", P.is_non_person_name(n).alias("non_person"), P.is_title_contaminated(n).alias("contaminated"), F.array_join(P.incomplete_name_reasons(n), ",").alias("incomplete"), P.name_quality(n).alias("quality"))
 
@@ -129,12 +130,12 @@ def multi_positive_ndcg(spark, d):
 
 
 def authorship_weights(spark, d):
-    configs = E.weight_configs(spark).where("config % 97 = 0")
-    w = works(spark, d).where("doc_id % 20 = 0").select("doc_id", F.element_at(F.array(F.lit("first"), F.lit("last"), F.lit("middle")), (F.col("doc_id") % 3 + 1).cast("int")).alias("position"), (F.col("doc_id") % 13 + 1).cast("int").alias("authors"), (F.col("doc_id") % 4 == 0).alias("confirmed"))
-    joined = w.crossJoin(F.broadcast(configs))  # a grid of a dozen configs
+    w = works(spark, d).select("doc_id", F.element_at(F.array(F.lit("first"), F.lit("last"), F.lit("middle")), (F.col("doc_id") % 3 + 1).cast("int")).alias("position"), (F.col("doc_id") % 13 + 1).cast("int").alias("authors"), (F.col("doc_id") % 4 == 0).alias("confirmed"))
     role, band = E.author_role(F.col("position"), F.col("authors")), E.author_count_band(F.col("authors"))
-    weight = E.publication_weight(role, F.col("confirmed"), band, {k: F.col(k) for k in E.WEIGHT_GRID})
-    return joined.groupBy("config").agg(F.round(F.sum(weight), 6).alias("total"), F.max(weight).alias("most"))
+    groups = w.groupBy(role.alias("role"), band.alias("band"), "confirmed").agg(F.count(F.lit(1)).alias("works"))
+    joined = groups.crossJoin(F.broadcast(E.weight_configs(spark)))  # at most 32 groups and a fixed grid
+    weight = E.publication_weight(F.col("role"), F.col("confirmed"), F.col("band"), {k: F.col(k) for k in E.WEIGHT_GRID})
+    return joined.groupBy("config").agg(F.round(F.sum(weight * F.col("works")), 6).alias("total"), F.max(weight).alias("most"))
 
 
 def age_bands(spark, d):
@@ -192,8 +193,8 @@ SQL = {
     "first_sentences": "SELECT item_id, left(regexp_extract(trim(text), '(?s)^(.*?[.!?])(\\s|$)', 1), 240) AS sentence FROM benchmark",
     "name_parts": """WITH n AS (SELECT p_partkey, trim(regexp_replace(p_name, '\\s+', ' ', 'g')) AS n FROM part)
       SELECT p_partkey, CASE WHEN contains(n, ' ') THEN regexp_replace(n, ' [^ ]*$', '') END AS given, regexp_extract(n, '([^ ]*)$', 1) AS family, n AS normalized FROM n""",
-    "name_pairs": """WITH p AS (SELECT p_partkey, p_brand, trim(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')) AS n FROM part WHERE p_partkey <= 400),
-      q AS (SELECT a.p_partkey, b.p_partkey AS other, a.n AS x, b.n AS y, list_distinct(string_split(a.n, ' ')) AS s, list_distinct(string_split(b.n, ' ')) AS t FROM p a JOIN p b USING (p_brand) WHERE a.p_partkey < b.p_partkey),
+    "name_pairs": """WITH p AS (SELECT p_partkey, p_brand, trim(regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9 ]+', ' ', 'g'), '\\s+', ' ', 'g')) AS n FROM part),
+      q AS (SELECT a.p_partkey, b.p_partkey AS other, a.n AS x, b.n AS y, list_distinct(string_split(a.n, ' ')) AS s, list_distinct(string_split(b.n, ' ')) AS t FROM p a JOIN p b USING (p_brand) WHERE b.p_partkey % 20 = 0 AND a.p_partkey <> b.p_partkey),
       j AS (SELECT *, len(list_intersect(s, t)) / len(list_distinct(list_concat(s, t))) AS j FROM q)
       SELECT p_partkey, other, CASE WHEN x = y THEN 1.0 ELSE round(greatest(j, CASE WHEN split_part(x, ' ', 1) = split_part(y, ' ', 1) AND split_part(x, ' ', -1) = split_part(y, ' ', -1) THEN 0.9 ELSE 0 END, CASE WHEN contains(x, y) OR contains(y, x) THEN 0.88 ELSE 0 END), 4) END AS score FROM j WHERE score > 0""",
     "age_bands": f"SELECT CASE WHEN 2024 - year <= 3 THEN '0-3' WHEN 2024 - year <= 8 THEN '4-8' ELSE '9+' END AS band, count(*) AS n FROM ({WORKS_SQL}) GROUP BY 1",
@@ -210,8 +211,8 @@ SQL = {
       SELECT label, CASE WHEN n = 0 THEN 0.0 ELSE round(g / list_sum(list_transform(range(1, least(n, 10) + 1), lambda i: 1 / log2(i + 1))), 9) END AS ndcg FROM n""",
     "stream_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "stream_memberships": "SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, count(*) AS seen FROM events GROUP BY 1",
-    "topic_lists": """SELECT doc_id, array_to_string(list_filter(u, lambda x, i: list_position(u, x) = i), '|') AS topics FROM (SELECT doc_id, list_filter(list_transform(list_slice(regexp_split_to_array(text, '[,.]'), 1, 6), lambda t: lower(trim(regexp_replace(t, '\\s+', ' ', 'g'), ' .;,:'))), lambda x: x <> '') AS u FROM documents WHERE doc_id % 10 = 0)""",
-    "department_names": "SELECT doc_id, nullif(left(trim(regexp_replace(text, '\\s+', ' ', 'g'), ' |-'), 200), '') AS department FROM documents WHERE doc_id % 10 = 1",
+    "topic_lists": """SELECT doc_id, array_to_string(list_filter(u, lambda x, i: list_position(u, x) = i), '|') AS topics FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[,.]'), lambda t: lower(trim(regexp_replace(t, '\\s+', ' ', 'g'), ' .;,:'))), lambda x: x <> '') AS u FROM documents)""",
+    "department_names": "SELECT doc_id, nullif(left(trim(regexp_replace(text, '\\s+', ' ', 'g'), ' |-'), 200), '') AS department FROM documents",
     "title_findings": """WITH t AS (SELECT doc_id, trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS t FROM documents)
       SELECT doc_id, concat_ws(',', CASE WHEN length(t) > 320 OR len(string_split(t, ' ')) > 40 THEN 'overlong' END, CASE WHEN regexp_matches(t, '(?i)\\b(biography|currently|joined|received|obtained|earned|worked|whose|he is|she is|he was|she was)\\b') THEN 'biography_like' END,
         CASE WHEN len(regexp_extract_all(t, '[.!?](\\s|$)')) >= 2 THEN 'multi_sentence' END) AS reasons FROM t""",
