@@ -10,6 +10,7 @@ all stages. Further columns of documents pass through the first four stages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from heliograph.llm import curriculum, exact_dedup, jaccard_join, packing, quality_crf
 from heliograph.llm.catalog import tokenizer_path
@@ -20,7 +21,8 @@ from heliograph.runtime import saved
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the quality classifier rejects."""
     field = quality_crf.train(docs, table(spark, sf_dir, "labels"))
-    return quality_crf.score(docs, field).where("predicted = 1").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))  # columns of docs may have the scores' names
+    return quality_crf.score(rows, field).where("predicted = 1").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

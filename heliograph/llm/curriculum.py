@@ -117,10 +117,10 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """
     plan = mix(docs, **settings).where("copies > 0")
     epochs = plan.select(
-        F.col("doc_id").alias("_id"), "copies", "slot", "source_size", "target", "stream_start",
+        F.col("doc_id").alias("__id"), "copies", "slot", "source_size", "target", "stream_start",
         F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("epoch"),
     )
     at = F.least((F.col("stream_start") + F.col("epoch") * F.col("source_size")) / F.col("target"), F.lit(1.0))
-    timed = epochs.select("_id", time_of(at, F.col("slot"), settings.get("schedules", SCHEDULES)).alias("_at")).distinct()
-    joined = docs.join(timed, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.repartitionByRange("_at", "doc_id").sortWithinPartitions("_at", "doc_id").select(*[docs[c] for c in docs.columns])
+    timed = epochs.select("__id", time_of(at, F.col("slot"), settings.get("schedules", SCHEDULES)).alias("__at")).distinct()
+    joined = docs.join(timed, F.col("doc_id").eqNullSafe(F.col("__id")))
+    return joined.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*[docs[c] for c in docs.columns])

@@ -99,9 +99,9 @@ def dedup(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH)
 def survivors(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
     """The rows of docs that stay, each once, with their own columns."""
     index = build_index(docs, capacity, max_depth)
-    stay = index.select(F.col("keep_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("keep_points").alias("_points"))
+    stay = index.select(F.col("keep_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("keep_points").alias("__points"))
     body = F.regexp_replace(text_of("text"), SPACE + "+", "")
-    marked = docs.withColumns({"_own_sha": _digest(body), "_own_points": F.char_length(text_of("text"))})
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha"))
-    rows = marked.join(stay, same).where("_own_points = _points")
-    return rows.dropDuplicates(["doc_id", "_own_sha"]).select(*[docs[c] for c in docs.columns])
+    marked = docs.withColumns({"__own_sha": _digest(body), "__own_points": F.char_length(text_of("text"))})
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own_sha") == F.col("__sha"))
+    rows = marked.join(stay, same).where("__own_points = __points")
+    return rows.dropDuplicates(["doc_id", "__own_sha"]).select(*[docs[c] for c in docs.columns])

@@ -416,6 +416,6 @@ def join(docs: DataFrame) -> DataFrame:
 
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of docs of which their component's smallest doc_id stays, with their own columns, each once."""
-    stay = join(docs).where("doc_id is null or component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")))
+    stay = join(docs).where("doc_id is null or component_id = doc_id").select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")))
     return kept.select(*[docs[c] for c in docs.columns])
