@@ -92,12 +92,11 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
         from heliograph.llm.token_ids import encoder
 
-        encode, worker = encoder(tokenizer_path).ids, Worker(TaskContext.get().partitionId(), capacity)
+        encode, worker = encoder(tokenizer_path).many, Worker(TaskContext.get().partitionId(), capacity)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py()) + end
-                n = len(ids) // 4
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                ids, n = ids + end, len(ids) // 4 + 1
                 for start, length in pieces(n, capacity):
                     worker.add((doc_id, start, length, ids[4 * start : 4 * (start + length)], n), length)
                 if len(worker.done) >= 4096:

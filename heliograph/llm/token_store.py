@@ -102,11 +102,11 @@ def _sample(docs: DataFrame, tokenizer_path: str, end_id: int, wide: bool) -> li
     def run(batches):
         from heliograph.llm.token_ids import encoder
 
-        encode = encoder(tokenizer_path).ids
+        encode = encoder(tokenizer_path).many
         for batch in batches:
             out = []
-            for text in batch.column(1).to_pylist():
-                ids = np.append(np.frombuffer(encode(text), "<u4"), np.uint32(end_id))
+            for ids in encode(batch.column(1).to_pylist()):
+                ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
                 out.append(ids.astype("<u4" if wide else "<u2").tobytes()[:SAMPLE_BYTES])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
@@ -134,12 +134,12 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID,
 
         from heliograph.llm.token_ids import encoder
 
-        encode, compress = encoder(tokenizer_path).ids, zstandard.ZstdCompressor(level=3, dict_data=_zstd(dictionary)).compress
+        encode, compress = encoder(tokenizer_path).many, zstandard.ZstdCompressor(level=3, dict_data=_zstd(dictionary)).compress
         held, size = [], 0
         put = lambda: pa.RecordBatch.from_arrays([pa.array([frame(held, dictionary)], pa.binary())], names=["frame"])
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(np.frombuffer(encode(text.as_py()), "<u4"), np.uint32(end_id))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
                 blob = compress(ids.astype("<u4" if wide else "<u2").tobytes())
                 held.append((doc_id, len(ids), blob))
                 size += len(blob)

@@ -185,7 +185,20 @@ def library():
 def test_pieces_have_the_librarys_ids(text):
     encode = token_ids.encoder(tokenizer_path())
     assert "".join(token_ids.split(text)) == text
-    assert np.frombuffer(encode.ids(text), "<u4").tolist() == encode.library.encode(text, add_special_tokens=False).ids
+    want = encode.library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encode.ids(text), "<u4").tolist() == want
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode.many([text, "", text + "b c\nd."])][0] == want
+
+
+def test_blocks_have_the_librarys_ids(spark, library, monkeypatch):
+    monkeypatch.setattr(textvec, "BLOCK_BYTES", 5000)
+    monkeypatch.setattr(token_ids, "YOUNG_PIECES", 50)
+    monkeypatch.setattr(token_ids, "MEMO_PIECES", 2000)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()] + [t[1] or "" if isinstance(t, tuple) else t or "" for t in ODD]
+    own = token_ids.Encoder(tokenizer_path())
+    for at in range(0, len(texts), 60):
+        part = texts[at : at + 60]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.many(part)] == [library.encode(t, add_special_tokens=False).ids for t in part]
 
 
 def test_memo_may_overflow(monkeypatch, library):
@@ -602,6 +615,11 @@ def test_pipeline_stages(spark):
     packed = corpus_pipeline.pack(spark, mixed, d)
     assert packed.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
     empty = docs.where("false")
+    clash = docs.selectExpr("*", "'mine' as score", "1 as predicted", "2 as _id", "3 as key", "4 as node", "5 as taken")
+    kept = clash
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        kept = saved(stage(spark, kept, d), "clash")
+        assert kept.columns == clash.columns and {(r.score, r.key) for r in kept.select("score", "key").collect()} == {("mine", 3)}
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, d)
         assert empty.count() == 0
