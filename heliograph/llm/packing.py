@@ -90,16 +90,16 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from heliograph.llm.token_ids import encoder
+        from heliograph.llm.token_ids import encoded, encoder
 
         encode, worker = encoder(tokenizer_path).many, Worker(TaskContext.get().partitionId(), capacity)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            for doc_id, ids in encoded(encode, batch.column(0), batch.column(1)):
                 ids, n = ids + end, len(ids) // 4 + 1
                 for start, length in pieces(n, capacity):
                     worker.add((doc_id, start, length, ids[4 * start : 4 * (start + length)], n), length)
-                if len(worker.done) >= 4096:
+                if len(worker.done) >= 1024:
                     yield _batch(worker)
         worker.close()
         yield _batch(worker)

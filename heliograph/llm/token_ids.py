@@ -17,14 +17,14 @@ import numpy as np
 
 from heliograph.llm import textvec
 
-MEMO_PIECES = 1_500_000
+MEMO_PIECES = 800_000
 _BREAK = "\u010a"  # how byte-level pre-tokenizers show a line break
 _ODD = re.compile(r"\s")
 _SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ASCII_SPACES = [c for c in _SPACES if c.isascii()]
 _SPACED = np.uint64(0x5BD1E9955BD1E995)
 YOUNG_PIECES = 1 << 16
-STEMS = 300_000
+STEMS = 50_000
 #: How byte-level pre-tokenizers show bytes: printable Latin-1 as itself, the rest from 256 upwards in order.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
@@ -211,6 +211,12 @@ def _lines(piece: str) -> list[str]:
     return [x for x in out if x]
 
 
+def encoded(encode, ids, texts, size: int = 256):
+    """(id, ids of the text) of an Arrow batch's rows, a few documents at a time to keep memory small."""
+    for at in range(0, len(texts), size):
+        yield from zip(ids.slice(at, size).to_pylist(), encode(texts.slice(at, size).to_pylist()))
+
+
 def encoder(path: str) -> Encoder:
     """This process's encoder for a tokenizer file."""
     if path not in _encoders:

@@ -132,13 +132,13 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = END_ID,
     def run(batches):
         import zstandard
 
-        from heliograph.llm.token_ids import encoder
+        from heliograph.llm.token_ids import encoded, encoder
 
         encode, compress = encoder(tokenizer_path).many, zstandard.ZstdCompressor(level=3, dict_data=_zstd(dictionary)).compress
         held, size = [], 0
         put = lambda: pa.RecordBatch.from_arrays([pa.array([frame(held, dictionary)], pa.binary())], names=["frame"])
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            for doc_id, ids in encoded(encode, batch.column(0), batch.column(1)):
                 ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
                 blob = compress(ids.astype("<u4" if wide else "<u2").tobytes())
                 held.append((doc_id, len(ids), blob))
