@@ -9,7 +9,8 @@ The finished model maps 2**SLOT_BITS slots at most (the top bits of a 64-bit has
 few n-grams that share a slot share the mean), which bounds what is sent to executors at 128 MB whatever the
 corpus. It is stored as sorted arrays of slots, log probabilities and back-off weights, searched by
 bisection. A document's perplexity is that of its characters; its language's band lies around the
-median, BAND robust deviations to either side and wider for short texts, where chance moves the mean.
+median, BAND robust deviations to either side. Chance moves a mean of n characters by 1 / sqrt(n), so
+deviations are measured times sqrt(n), in each language and class of length.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliograph.llm import textvec
@@ -33,10 +34,10 @@ KIND_SHIFT = LANG_SHIFT + 12
 START = 3  # the character before a document's first
 MIN_WORDS = 20
 REPEAT_WORDS = 8
-BAND = 6.0
-BAND_FLOOR = 0.2  # of log perplexity
-SHORT = 200  # characters; a text this long gets a band wider by the square root of two
-BIN = 0.001
+BAND = 3.5
+FEW = 30  # documents; a deviation measured on fewer gives way to that of the language, then of all documents
+BIN = 0.001  # of log perplexity; bands are no narrower than this, the medians' own precision
+STEP = 0.01  # of the logarithm of a deviation
 FLUSH = 1 << 21
 
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -274,39 +275,50 @@ def measured(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, lang string, " + ", ".join(f"{k} long" for k in names) + ", n_chars long, nll double")
 
 
-def bands(rows: DataFrame, band: float = BAND) -> DataFrame:
-    """(lang, middle, spread) from all documents with characters: the median of nll and the median
-    distance from it, both from counts in bins of BIN, so that reruns agree."""
-    bins = rows.where("n_chars > 0").groupBy("lang", F.floor(F.col("nll") / BIN).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def base_failed() -> Column:
+    """Whether a row of measured() fails the base rules."""
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
-    def middle(df: DataFrame, value: str) -> DataFrame:
-        upto = Window.partitionBy("lang").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = df.withColumns({"upto": F.sum("n").over(upto), "all": F.sum("n").over(Window.partitionBy("lang"))})
-        return ranked.where(2 * F.col("upto") >= F.col("all")).groupBy("lang").agg(F.min(value).alias("m"))
 
-    centre = middle(bins, "bin").select(F.col("lang").alias("_lang"), F.col("m").alias("centre"))
-    away = bins.join(centre, F.col("lang").eqNullSafe(F.col("_lang"))).select("lang", "centre", F.abs(F.col("bin") - F.col("centre")).alias("away"), "n")
-    merged = away.groupBy("lang", "centre", "away").agg(F.sum("n").alias("n"))
-    spread = middle(merged, "away").select(F.col("lang").alias("_l"), F.col("m").alias("mad"))
-    joined = centre.join(spread, F.col("_lang").eqNullSafe(F.col("_l")))
-    return joined.select(F.col("_lang"), ((F.col("centre") + 0.5) * BIN).alias("middle"),
-                         F.greatest(F.col("mad") * BIN * 1.4826 * band, F.lit(BAND_FLOOR)).alias("spread"))
+def length_class(n_chars: Column) -> Column:
+    return F.floor(F.log2(F.greatest(n_chars, F.lit(1)))).cast("int")
+
+
+def bands(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The median of nll by language, and the robust deviation of (nll - median) * sqrt(n_chars): by language
+    and class of length (_lang, _length, near), by language (_lang, middle, own) and of all (every).
+
+    Documents that fail the base rules don't count, copies count once. Medians are of bins (BIN, STEP), so
+    that reruns agree and an aggregate holds some thousand values. Those of fewer than FEW are null but in `every`.
+    """
+    nll = F.round("nll", 6)
+    one = rows.where((F.col("n_chars") > 0) & ~base_failed()).select(F.col("lang").alias("_lang"), "n_chars", nll.alias("nll")).distinct()
+    centre = one.groupBy("_lang").agg(((F.median(F.floor(F.col("nll") / BIN)) + 0.5) * BIN).alias("middle"))
+    away = F.greatest(F.abs(F.col("nll") - F.col("middle")), F.lit(BIN / 2)) * F.sqrt("n_chars")
+    seen = one.join(centre.withColumnRenamed("_lang", "_l"), F.col("_lang").eqNullSafe(F.col("_l")))
+    steps = seen.select("_lang", length_class(F.col("n_chars")).alias("_length"), "middle", F.floor(F.log(away) / STEP).alias("step"))
+    middle = F.exp((F.median("step") + 0.5) * STEP) * 1.4826
+    enough = F.when(F.count(F.lit(1)) >= FEW, middle)
+    return (steps.groupBy("_lang", "_length").agg(enough.alias("near")),
+            steps.groupBy("_lang", "middle").agg(enough.alias("own")), steps.agg(middle.alias("every")))
 
 
 def rules(docs: DataFrame, band: float = BAND) -> DataFrame:
     """One row per document: doc_id, the counts, perplexity, its band, base_failed and kept.
 
     Null text has no words and fails the base rules; a null language has a model and band of its
-    own. Repeated rows count like any others. An empty table gives an empty result.
+    own. Repeated rows count like any others in the model. An empty table gives an empty result.
     """
     rows = saved(measured(docs, build_model(docs)), "rules-measured")
-    limits = bands(rows, band)
-    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    wide = F.col("spread") * F.sqrt(1 + SHORT / F.greatest(F.col("n_chars"), F.lit(1)))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    lengths, languages, every = (saved(x, "rules-bands") for x in bands(rows))
+    same = F.col("lang").eqNullSafe(F.col("_lang"))
+    joined = rows.join(languages, same, "left").drop("_lang")
+    joined = joined.join(lengths, same & (length_class(F.col("n_chars")) == F.col("_length")), "left").crossJoin(F.broadcast(every))
+    spread = F.coalesce("near", "own", "every") * band / F.sqrt(F.greatest(F.col("n_chars"), F.lit(1)))
+    wide = F.when(F.col("middle").isNotNull(), F.greatest(spread, F.lit(BIN)))
     inside = F.abs(F.col("nll") - F.col("middle")) <= wide
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & F.coalesce(inside, F.lit(False))).alias("kept"), F.exp("nll").alias("perplexity"),
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"),
+        (~base_failed() & F.coalesce(inside, F.lit(False))).alias("kept"), F.exp("nll").alias("perplexity"),
         F.exp(F.col("middle") - wide).alias("lower_bound"), F.exp(F.col("middle") + wide).alias("upper_bound"),
     )

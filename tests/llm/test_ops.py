@@ -391,6 +391,22 @@ def test_rules_edge_cases(spark):
     assert perplexity.rules(docs.where("false")).count() == 0
 
 
+def test_bands_reject_junk_that_passes_the_base_rules(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(300)]
+    say = lambda n: [words[i] for i in (300 * rng.random(n) ** 2).astype(int)]
+    clean = [" ".join(say(int(n))) for n in rng.integers(40, 400, 400)]
+    marks = [" ".join(w + rng.choice(["&&&", "***", "%%%"]) for w in say(100)) for _ in range(6)]
+    bars = [" | ".join(say(100)) for _ in range(6)]
+    mixed = ["".join(rng.permutation(list(" ".join(say(100))))) for _ in range(6)]
+    copies = [clean[0]] * 500  # more than half of the rows: they must not narrow the band
+    rows = {r.doc_id: r for r in perplexity.rules(frame(spark, clean + marks + bars + mixed + copies)).collect()}
+    order = sorted(rows)
+    assert not any(r.base_failed for r in rows.values())
+    assert sum(rows[i].kept for i in order[:400]) >= 392
+    assert [i for i in order[400:418] if rows[i].kept] == []
+
+
 # 8 -----------------------------------------------------------------------------------------------
 
 def shingles(text):
