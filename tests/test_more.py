@@ -105,3 +105,19 @@ def test_cursor_proof():
     for broken in ({"b": pages["b"] | {"count": 4}}, {"b": pages["b"] | {"next": "*"}}, {"b": pages["b"] | {"results": []}}):
         with pytest.raises(fetch.IncompleteInventory):
             list(fetch.pages_of((pages | broken).__getitem__))
+
+
+def test_page_publications_against_brute_force(spark, tmp_path):
+    from heliograph.plans import catalog
+
+    docs = [(i, f"A study of subject {chr(97 + i % 7) * 3} {i % n}\nbody {i}", "en", s, 9) for s, n, first in (("small", 30, 0), ("mid", 300, 1000), ("large", 600, 2000)) for i in range(first, first + 900)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    want = set()
+    for source in ("small", "mid", "large"):
+        seen = {}
+        for i, text, _, s, _ in sorted(docs):
+            if s == source:
+                seen.setdefault(text.split("\n")[0].lower() + "|2020", i)
+        want |= {(source, pos, key) for key, pos in sorted(seen.items(), key=lambda x: x[1])[:500]}
+    got = rows(catalog.queries()["page_publications"](spark, str(tmp_path)))
+    assert len(got) == len(want) and set(got) == want
