@@ -1,13 +1,13 @@
 """Quality rules: counts of words, symbols and repeats, and n-gram perplexity bands per language.
 
 The language model is a modified Kneser-Ney model of characters, of order ORDER, one per language in
-one set of keys. Spark counts the n-grams of all documents (each task sums its own first), and the
-model is computed from the counts by joins. An n-gram's key packs its language (12 bits) and its characters
-(12 bits each), so prefixes and suffixes are shifts and masks.
+one table. Spark counts the n-grams of all documents (each task sums its own first), and the model is
+computed from the counts by joins. An n-gram is its language's number, its context (21 bits a
+character, so every code point is itself) and its last character, so nothing is folded.
 
-The finished model maps 2**SLOT_BITS slots at most (the top bits of a 64-bit hash of the key; the
-few n-grams that share a slot share the mean), which bounds what is sent to executors at 128 MB whatever the
-corpus. It is stored as sorted arrays of slots, log probabilities and back-off weights, searched by
+All documents are counted, so each of their n-grams is in the model. Up to SHARED n-grams are sent to
+executors as sorted arrays of 64-bit keys; more are joined to the chunks of documents they occur in, and
+a task holds its chunk's n-grams alone. Both give the same values. Keys are searched by
 bisection. A document's perplexity is that of its characters; its language's band lies around the
 median, BAND robust deviations to either side. Chance moves a mean of n characters by 1 / sqrt(n), so
 deviations are measured times sqrt(n), in each language and class of length.
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliograph.llm import textvec
@@ -28,9 +28,9 @@ from heliograph.runtime import saved, ship_code
 
 ORDER = 4
 SLOT_BITS = 24
-CHAR_BITS = 12
-LANG_SHIFT = ORDER * CHAR_BITS
-KIND_SHIFT = LANG_SHIFT + 12
+CHAR_BITS = 21  # any code point; a context of ORDER - 1 characters fits a long
+SHARED = 1 << 22  # n-grams, 50 MB
+CHUNK_BYTES = 8 << 20
 START = 3  # the character before a document's first
 MIN_WORDS = 20
 REPEAT_WORDS = 8
@@ -43,24 +43,44 @@ FLUSH = 1 << 21
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 
 
-def characters(text: str) -> np.ndarray:
-    """Characters as 12-bit codes: below 2,048 themselves, others folded into the upper half."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    return np.where(points < 2048, points, 2048 + ((points * 40503) >> 5) % 2048)
+class Grams:
+    """The n-gram of order ORDER that ends at each character: codes[k] holds the characters k places before it."""
 
+    def __init__(self, langs: np.ndarray, codes: list[np.ndarray]):
+        self.langs, self.codes = langs.astype(np.int64), codes
 
-def gram_keys(texts: list[bytes], langs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, document) of the n-gram of order ORDER that ends at each character of the texts."""
-    mark = "\x03" * (ORDER - 1)
+    def context(self, order: int, end: int = 0) -> np.ndarray:
+        """The order - 1 characters before the one `end` places before the last."""
+        out = np.zeros(len(self.langs), np.int64)
+        for k in range(1, order):
+            out |= self.codes[end + k] << (CHAR_BITS * (k - 1))
+        return out
+
+    def keys(self, order: int = ORDER) -> np.ndarray:
+        return hash_longs(self.langs, self.context(order), self.codes[0])
+
+    def context_keys(self, order: int) -> np.ndarray:
+        return hash_longs(self.langs, self.context(order))
+
+    def at(self, place: np.ndarray) -> Grams:
+        return Grams(self.langs[place], [c[place] for c in self.codes])
+
+    def __len__(self) -> int:
+        return len(self.langs)
+
+    def __getitem__(self, place):
+        return self.keys()[place]
+
+
+def gram_keys(texts: list[bytes], langs: np.ndarray) -> tuple[Grams, np.ndarray]:
+    """The n-grams that end at each character of the texts, and the text of each."""
+    mark = chr(START) * (ORDER - 1)
     decoded = [x.decode("utf-8", "replace") for x in texts]
     sizes = np.asarray([len(x) for x in decoded], np.int64)
-    codes = characters(mark + mark.join(decoded))
+    codes = np.frombuffer((mark + mark.join(decoded)).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     at = np.arange(int(sizes.sum())) + np.repeat((np.arange(len(texts)) + 1) * (ORDER - 1), sizes)
     doc = np.repeat(np.arange(len(texts)), sizes)
-    key = langs[doc] << LANG_SHIFT
-    for k in range(ORDER):
-        key = key | (codes[at - k] << (CHAR_BITS * k))
-    return key, doc
+    return Grams(np.asarray(langs)[doc], [codes[at - k] for k in range(ORDER)]), doc
 
 
 def base_counts(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
@@ -101,9 +121,14 @@ def base_counts(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def lang_code(lang: Column) -> Column:
-    """A language's 12-bit number; null has its own."""
-    return (F.crc32(F.coalesce(lang, F.lit("")).cast("binary")) % 4096).cast("long")
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with code, a number of the language that no other has: the CRC, 4096 and more where several share it; null and empty are one."""
+    name = F.coalesce(F.col("lang"), F.lit(""))
+    crc = (F.crc32(F.col("_name").cast("binary")) % 4096).cast("long")
+    names = docs.select(name.alias("_name")).distinct().withColumn("_crc", crc)
+    place = F.row_number().over(Window.partitionBy("_crc").orderBy("_name")) - 1
+    codes = names.select("_name", (F.col("_crc") + 4096 * place.cast("long")).alias("code"))
+    return docs.select("doc_id", "lang", "text").join(F.broadcast(codes), name == F.col("_name")).drop("_name")
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes], np.ndarray, np.ndarray]]:
@@ -112,167 +137,216 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes], np.n
         yield first, end, texts[first:end], data, starts
 
 
+COLUMNS = ["lang", "ctx", "last", "count"]
+
+
+def _summed(held: list[tuple]) -> list[np.ndarray]:
+    """lang, ctx, last and count of the distinct n-grams of [(keys, lang, ctx, last, count)]."""
+    joined = [np.concatenate(x) for x in zip(*held)]
+    keys, first, place = np.unique(joined[0], return_index=True, return_inverse=True)
+    return [keys, *[x[first] for x in joined[1:4]], np.bincount(place, joined[4], len(keys)).astype(np.int64)]
+
+
+def _distinct(grams: Grams) -> list[np.ndarray]:
+    keys, first, counts = np.unique(grams.keys(), return_index=True, return_counts=True)
+    own = grams.at(first)
+    return [keys, own.langs, own.context(ORDER), own.codes[0], counts.astype(np.int64)]
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(key, count) of every n-gram of order ORDER in all documents."""
+    """(lang, ctx, last, count) of every n-gram of order ORDER in all documents."""
     ship_code(docs.sparkSession)
 
+    def record(held):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in held[1:]], names=COLUMNS)
+
     def run(batches):
         held, size = [], 0
-
-        def summed():
-            keys, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(place, np.concatenate([c for _, c in held])).astype(np.int64)
-
         for batch in batches:
-            langs = batch.column("lang").to_numpy()
+            langs = batch.column("code").to_numpy()
             for first, end, texts, _, _ in _blocks(batch):
-                keys, counts = np.unique(gram_keys(texts, langs[first:end])[0], return_counts=True)
-                held.append((keys, counts))
-                size += len(keys)
+                held.append(_distinct(gram_keys(texts, langs[first:end])[0]))
+                size += len(held[-1][0])
                 if size > FLUSH:
-                    held = [summed()]
+                    held = [_summed(held)]
                     size = len(held[0][0])
                     if size > FLUSH // 2:
-                        yield _record(*held[0])
+                        yield record(held[0])
                         held, size = [], 0
         if held:
-            yield _record(*summed())
-
-    def _record(keys, counts):
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "count"])
-
-    rows = docs.select(lang_code(F.col("lang")).alias("lang"), text_of("text").alias("text"))
-    return rows.mapInArrow(run, "key long, count long").groupBy("key").agg(F.sum("count").alias("count"))
+            yield record(_summed(held))
 
+    rows = numbered(docs).select("code", text_of("text").alias("text"))
+    return rows.mapInArrow(run, "lang long, ctx long, last long, count long").groupBy("lang", "ctx", "last").agg(F.sum("count").alias("count"))
 
-def _tail(key: Column, order: int) -> Column:
-    """The key without its first character, as a key of order - 1."""
-    lang = F.shiftleft(F.shiftright(key, LANG_SHIFT), LANG_SHIFT)
-    return lang.bitwiseOR(key.bitwiseAND(F.lit((1 << (CHAR_BITS * (order - 1))) - 1)))
 
+def _short(order: int) -> Column:
+    """The context of the n-gram's last `order` characters."""
+    return F.col("ctx").bitwiseAND(F.lit((1 << (CHAR_BITS * (order - 1))) - 1))
 
-def _head(key: Column, order: int) -> Column:
-    """The key of the context (all but the last character)."""
-    lang = F.shiftleft(F.shiftright(key, LANG_SHIFT), LANG_SHIFT)
-    return lang.bitwiseOR(F.shiftright(key.bitwiseAND(F.lit((1 << LANG_SHIFT) - 1)), CHAR_BITS))
 
-
-def kneser_ney(counts: DataFrame, name: str = "kn") -> DataFrame:
-    """(kind, key, logp): kind 1..ORDER are log probabilities of n-grams, kind ORDER + j log back-off
-    weights of contexts of j characters. Lower orders count the distinct characters before."""
+def levels_of(counts: DataFrame, name: str = "kn") -> Iterator[tuple[int, DataFrame, DataFrame]]:
+    """(j, n-grams of order j with p, contexts with back) from 1 to ORDER. Lower orders count the distinct characters before."""
     levels = {ORDER: saved(counts, f"{name}-counts")}
     for j in range(ORDER - 1, 0, -1):
-        levels[j] = saved(levels[j + 1].groupBy(_tail(F.col("key"), j + 1).alias("key")).agg(F.count(F.lit(1)).alias("count")), f"{name}-order{j}")
-    lower, out = None, []
+        levels[j] = saved(levels[j + 1].groupBy("lang", _short(j).alias("ctx"), "last").agg(F.count(F.lit(1)).alias("count")), f"{name}-order{j}")
+    lower = None
     for j in range(1, ORDER + 1):
         n1, n2, n3, n4 = levels[j].agg(*[F.coalesce(F.count_if(F.col("count") == i), F.lit(0)) for i in (1, 2, 3, 4)]).first()
         y = n1 / (n1 + 2 * n2) if n1 else 0.5
         cut = [min(max(d, 0.1), i + 0.9) for i, d in enumerate([1 - 2 * y * n2 / max(n1, 1), 2 - 3 * y * n3 / max(n2, 1), 3 - 4 * y * n4 / max(n3, 1)])]
         off = F.when(F.col("count") == 1, cut[0]).when(F.col("count") == 2, cut[1]).otherwise(cut[2])
-        head = F.shiftright("key", LANG_SHIFT) if j == 1 else _head(F.col("key"), j)
-        rows = levels[j].withColumns({"head": head, "off": F.least(off, F.col("count").cast("double"))})
-        sums = rows.groupBy("head").agg(F.sum("count").alias("total"), (F.sum("off") / F.sum("count")).alias("back"), F.count(F.lit(1)).alias("kinds"))
-        joined = rows.join(sums, "head")
+        rows = levels[j].withColumn("off", F.least(off, F.col("count").cast("double")))
+        sums = rows.groupBy("lang", "ctx").agg(F.sum("count").alias("total"), (F.sum("off") / F.sum("count")).alias("back"), F.count(F.lit(1)).alias("kinds"))
+        joined = rows.join(sums, ["lang", "ctx"])
         if j == 1:
             below = 1.0 / F.greatest(F.col("kinds"), F.lit(256))
         else:
-            joined = joined.withColumn("tail", _tail(F.col("key"), j)).join(lower.select(F.col("key").alias("tail"), F.col("p").alias("below")), "tail")
+            joined = joined.withColumn("short", _short(j - 1)).join(lower.select("lang", F.col("ctx").alias("short"), "last", F.col("p").alias("below")), ["lang", "short", "last"])
             below = F.col("below")
         p = (F.col("count") - F.col("off")) / F.col("total") + F.col("back") * below
-        lower = saved(joined.select("key", p.alias("p")), f"{name}-p{j}")
-        out.append(lower.select(F.lit(j).alias("kind"), "key", F.log("p").alias("logp")))
+        lower = saved(joined.select("lang", "ctx", "last", p.alias("p")), f"{name}-p{j}")
+        yield j, lower, sums
+
+
+def kneser_ney(counts: DataFrame, name: str = "kn") -> DataFrame:
+    """(kind, key, logp): kind 1..ORDER are log probabilities of n-grams, kind ORDER + j log back-off
+    weights of contexts of j characters. The key is the 64-bit hash of the language, context and last character."""
+    whole = None
+    for j, grams, sums in levels_of(counts, name):
+        part = grams.select(F.lit(j).alias("kind"), F.xxhash64("lang", "ctx", "last").alias("key"), F.log("p").alias("logp"))
         if j > 1:
-            out.append(sums.select(F.lit(ORDER + j - 1).alias("kind"), F.col("head").alias("key"), F.log("back").alias("logp")))
-    whole = out[0]
-    for part in out[1:]:
-        whole = whole.unionByName(part)
+            part = part.unionByName(sums.select(F.lit(ORDER + j - 1).alias("kind"), F.xxhash64("lang", "ctx").alias("key"), F.log("back").alias("logp")))
+        whole = part if whole is None else whole.unionByName(part)
     return whole
 
 
-def slot_of(keys: np.ndarray) -> np.ndarray:
-    """The slot of each key: the top bits of Spark's xxhash64 of a long (seed 42)."""
+def hash_longs(*columns: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of longs (seed 42), as signed 64-bit numbers."""
     p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
     turn = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    h = np.uint64(42)
     with np.errstate(over="ignore"):
-        h = np.uint64(42) + p5 + np.uint64(8)
-        h = h ^ (turn(keys.astype(np.uint64) * p2, 31) * p1)
-        h = turn(h, 27) * p1 + p4
-        h = (h ^ (h >> np.uint64(33))) * p2
-        h = (h ^ (h >> np.uint64(29))) * p3
-        h = h ^ (h >> np.uint64(32))
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
+        for keys in columns:
+            h = h + p5 + np.uint64(8)
+            h = h ^ (turn(keys.astype(np.uint64) * p2, 31) * p1)
+            h = turn(h, 27) * p1 + p4
+            h = (h ^ (h >> np.uint64(33))) * p2
+            h = (h ^ (h >> np.uint64(29))) * p3
+            h = h ^ (h >> np.uint64(32))
+    return h.astype(np.int64)
 
 
-class Model:
-    """Sorted arrays of slots and log values."""
+def slot_of(keys: np.ndarray) -> np.ndarray:
+    """The top bits of each key's hash."""
+    return (hash_longs(keys).astype(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
+
 
-    def __init__(self, slots: np.ndarray, values: np.ndarray):
-        order = np.argsort(slots, kind="stable")
-        self.slots, self.values = slots[order].astype(np.uint32), values[order].astype(np.float32)
+class Table:
+    """Sorted keys and their values."""
 
-    def find(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(value, whether stored) of each key of a kind."""
-        if not len(self.slots):
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.values = keys[order], values[order]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(value, whether stored) of each key."""
+        if not len(self.keys):
             return np.zeros(len(keys), np.float32), np.zeros(len(keys), bool)
-        slots = slot_of(keys | (kind << KIND_SHIFT))
-        at = np.minimum(np.searchsorted(self.slots, slots), len(self.slots) - 1)
-        return self.values[at], self.slots[at] == slots
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.values[at], self.keys[at] == keys
+
 
-    def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """ln P(last character | those before) of n-gram keys, backing off where an n-gram is unknown."""
-        out, rest, kept = np.zeros(len(keys)), np.arange(len(keys)), keys
+class Model:
+    """A table of each kind, for texts that were not counted as well."""
+
+    def __init__(self, tables: dict[int, Table]):
+        self.tables = tables
+
+    def log_probabilities(self, grams: Grams) -> np.ndarray:
+        """ln P(last character | those before), backing off where an n-gram is unknown."""
+        out, rest, kept = np.zeros(len(grams)), np.arange(len(grams)), grams
         for j in range(ORDER, 0, -1):
-            value, known = self.find(j, kept)
+            value, known = self.tables[j].find(kept.keys(j))
             out[rest[known]] += value[known]
-            rest, kept = rest[~known], kept[~known]
+            rest, kept = rest[~known], kept.at(np.flatnonzero(~known))
             if not len(rest):
                 return out
-            lang = (kept >> LANG_SHIFT) << LANG_SHIFT
             if j > 1:
-                gram = kept & ((1 << LANG_SHIFT) - 1)
-                back, has = self.find(ORDER + j - 1, lang | (gram >> CHAR_BITS))
+                back, has = self.tables[ORDER + j - 1].find(kept.context_keys(j))
                 out[rest] += np.where(has, back, 0)
-                kept = lang | (gram & ((1 << (CHAR_BITS * (j - 1))) - 1))
         out[rest] += -np.log(4096.0)
         return out
 
 
 def build_model(docs: DataFrame) -> Model:
-    """Counts all documents and collects the slots: at most 2**SLOT_BITS rows of 12 bytes."""
-    grams = kneser_ney(count_grams(docs))
-    packed = F.col("key").bitwiseOR(F.shiftleft(F.col("kind").cast("long"), KIND_SHIFT))
-    slots = grams.groupBy(F.shiftrightunsigned(F.xxhash64(packed), 64 - SLOT_BITS).alias("slot")).agg(F.avg("logp").cast("float").alias("value"))
-    table = slots.toArrow()
-    return Model(table["slot"].to_numpy(), table["value"].to_numpy())
-
-
-def measured(docs: DataFrame, model: Model) -> DataFrame:
+    """Counts all documents and collects the whole model, for corpora whose model fits one machine."""
+    table = kneser_ney(count_grams(docs)).toArrow()
+    kind, key, value = (table[c].to_numpy() for c in ("kind", "key", "logp"))
+    return Model({k: Table(key[kind == k], value[kind == k].astype(np.float32)) for k in range(1, 2 * ORDER)})
+
+
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+MEASURED = "doc_id long, lang string, " + ", ".join(f"{k} long" for k in NAMES) + ", n_chars long, nll double"
+
+
+def _measure(batch: pa.RecordBatch, table: Table) -> Iterator[pa.RecordBatch]:
+    langs = batch.column("code").to_numpy()
+    for first, end, texts, data, starts in _blocks(batch):
+        counts = base_counts(data, starts)
+        grams, doc = gram_keys([x or b"" for x in texts], langs[first:end])
+        size = np.bincount(doc, minlength=end - first)
+        logp, known = table.find(grams.keys())
+        if not known.all():
+            raise ValueError("an n-gram was not counted")
+        nll = -np.bincount(doc, logp, end - first) / np.maximum(size, 1)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").slice(first, end - first), batch.column("lang").slice(first, end - first),
+             *[pa.array(counts[k].astype(np.int64)) for k in NAMES], pa.array(size.astype(np.int64)), pa.array(nll)],
+            names=["doc_id", "lang", *NAMES, "n_chars", "nll"],
+        )
+
+
+def measured(docs: DataFrame, shared: int = SHARED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, lang, the base counts, n_chars and nll (mean negative log probability of a character)."""
-    ship_code(docs.sparkSession)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.slots, model.values))
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-
-    def run(batches):
-        slots, values = shared.value
-        own = Model.__new__(Model)
-        own.slots, own.values = slots, values
-        for batch in batches:
+    ship_code(spark)
+    for _, grams, _ in levels_of(count_grams(docs)):
+        pass
+    values = F.log("p").cast("float").alias("logp")
+    rows = numbered(docs).select("doc_id", "lang", "code", text_of("text").alias("text"))
+    if grams.count() <= shared:
+        found = grams.select(F.xxhash64("lang", "ctx", "last").alias("key"), values).toArrow()
+        whole = Table(found["key"].to_numpy(), found["logp"].to_numpy())
+        sent = spark.sparkContext.broadcast((whole.keys, whole.values))
+
+        def run(batches):
+            table = Table.__new__(Table)
+            table.keys, table.values = sent.value
+            for batch in batches:
+                yield from _measure(batch, table)
+
+        return rows.mapInArrow(run, MEASURED)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunk = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(max(1, -(-size // chunk_bytes))))
+    dealt = rows.withColumn("chunk", chunk)
+
+    def used(table: pa.Table) -> pa.Table:
+        held = []
+        for batch in table.combine_chunks().to_batches():
             langs = batch.column("code").to_numpy()
-            for first, end, texts, data, starts in _blocks(batch):
-                counts = base_counts(data, starts)
-                keys, doc = gram_keys(texts, langs[first:end])
-                size = np.bincount(doc, minlength=end - first)
-                total = np.bincount(doc, own.log_probabilities(keys), end - first)
-                nll = -total / np.maximum(size, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, end - first), batch.column("lang").slice(first, end - first),
-                     *[pa.array(counts[k].astype(np.int64)) for k in names], pa.array(size.astype(np.int64)), pa.array(nll)],
-                    names=["doc_id", "lang", *names, "n_chars", "nll"],
-                )
-
-    rows = docs.select("doc_id", "lang", lang_code(F.col("lang")).alias("code"), text_of("text").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang string, " + ", ".join(f"{k} long" for k in names) + ", n_chars long, nll double")
+            held += [_distinct(gram_keys(texts, langs[first:end])[0]) for first, end, texts, _, _ in _blocks(batch)]
+        summed = _summed(held)
+        return pa.table([pa.array(np.full(len(summed[0]), table["chunk"][0].as_py(), np.int64)), *[pa.array(x) for x in summed[1:4]]], names=["chunk", *COLUMNS[:3]])
+
+    def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        table = Table(right["key"].to_numpy(), right["logp"].to_numpy())
+        out = [part for batch in left.combine_chunks().to_batches() for part in _measure(batch, table)]
+        return pa.Table.from_batches(out)
+
+    needs = dealt.groupBy("chunk").applyInArrow(used, "chunk long, lang long, ctx long, last long")
+    own = needs.join(grams, ["lang", "ctx", "last"]).select("chunk", F.xxhash64("lang", "ctx", "last").alias("key"), values)
+    return dealt.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(score, MEASURED)
 
 
 def base_failed() -> Column:
@@ -309,7 +383,7 @@ def rules(docs: DataFrame, band: float = BAND) -> DataFrame:
     Null text has no words and fails the base rules; a null language has a model and band of its
     own. Repeated rows count like any others in the model. An empty table gives an empty result.
     """
-    rows = saved(measured(docs, build_model(docs)), "rules-measured")
+    rows = saved(measured(docs), "rules-measured")
     lengths, languages, every = (saved(x, "rules-bands") for x in bands(rows))
     same = F.col("lang").eqNullSafe(F.col("_lang"))
     joined = rows.join(languages, same, "left").drop("_lang")

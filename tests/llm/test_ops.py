@@ -391,6 +391,28 @@ def test_rules_edge_cases(spark):
     assert perplexity.rules(docs.where("false")).count() == 0
 
 
+def test_wide_scripts_and_languages_stay_apart(spark):
+    # 2,500 Hangul and Han characters and two languages of one CRC: none may share an n-gram's entry
+    wide = [chr(0xAC00 + i) + chr(0x4E00 + i) + chr(0x1F300 + i % 500) for i in range(2500)]
+    texts = ["".join(wide[i : i + 250]) for i in range(0, 2500, 250)] + ["abcab"] * 3 + ["xyxy"] * 2 + [None, ""]
+    one, seen = None, {}
+    for i in range(10_000):
+        if (one := seen.setdefault(zlib.crc32(b"l%d" % i) % 4096, i)) != i:
+            break
+    docs = frame(spark, texts, langs=["ko"] * 10 + [f"l{one}"] * 3 + [f"l{i}"] * 2 + [None, "ko"])
+    grams = perplexity.count_grams(docs).collect()
+    want = defaultdict(int)
+    for k, t in enumerate(texts):
+        lang = 0 if k < 10 else 1 if k < 13 else 2
+        for e in range(len(t or "")):
+            want[lang, ("\x03" * 3 + t)[e : e + 4]] += 1
+    assert sorted(r["count"] for r in grams) == sorted(want.values())
+    sent = {r.doc_id: r.nll for r in perplexity.measured(docs).collect()}
+    joined = {r.doc_id: r.nll for r in perplexity.measured(docs, shared=0, chunk_bytes=2000).collect()}
+    assert sent.keys() == joined.keys() and len(sent) == len(texts)
+    assert all(abs(sent[k] - joined[k]) < 1e-6 for k in sent)
+
+
 def test_bands_reject_junk_that_passes_the_base_rules(spark):
     rng = np.random.default_rng(8)
     words = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(300)]
