@@ -14,11 +14,15 @@ Sets with too few segments (small ones) index all their segments and the one-del
 of each, which finds segments that differ in one token; where even that can't reach H + 1 they
 index their single tokens.
 
-Sets are nodes: documents with equal sets are one node from the start. Groups of nodes under one
-signature are never expanded into all pairs: each node is compared with its group's first node, then
-those left in other components with a second one, and only what is still open is compared within
-the group, behind an exact lower bound from bit parities. Every candidate link is verified on the
-documents' own words.
+Sets are nodes: documents with equal sets are one node from the start. A group of nodes under one
+signature is never expanded into all its pairs. Its task compares bit parities (an exact lower bound
+of the difference, with bits in proportion to the set), takes what passes as linked for the moment,
+and so proposes about one pair for each node that it adds to a component. Every proposed pair is
+verified on the documents' own words. Pairs that turn out not to be linked go back to their groups,
+which propose others in the next round, eight times as many for two components that a proposal
+failed to join. It ends when no group has a pair of different components left that could be linked.
+Groups of more than BLOCK nodes are dealt to tasks by blocks: each block alone in the first round,
+pairs of blocks while parts of them are still in different components.
 """
 
 from __future__ import annotations
@@ -37,8 +41,11 @@ from heliograph.runtime import saved, ship_code
 WORDS = 5
 HOT_BITS = 18
 HOT_LEAST = 64
-PARITY_BITS = 1024
-CHUNK = 4096  # members of a hub that one task compares at most
+PARITY_BITS = 1024  # at least; sets of more than half as many tokens have a second, wider row of bits
+CHUNK = 256  # members of a hub that one task compares at most
+BLOCK = 4096  # nodes of a group that one task holds at most, or twice as many
+SMALL = 6  # groups up to this size are compared by array operations over all of them
+QUOTA = 8  # how much faster proposals between two components grow from round to round
 HOT_TOKENS = 1 << 21
 SEEN_NODES = 1 << 19
 
@@ -73,9 +80,23 @@ def node_of(tokens: np.ndarray) -> int:
     return int(textvec.mix(np.asarray([total], np.uint64)).view(np.int64)[0])
 
 
-def parities(tokens: np.ndarray) -> bytes:
-    """PARITY_BITS bits; sets that differ in d tokens differ in at most d of them."""
-    return np.packbits(np.bincount((tokens % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1).tobytes()
+def parities(tokens: np.ndarray, bits: int = PARITY_BITS) -> bytes:
+    """Parities of the tokens by their value modulo `bits`; sets that differ in d tokens differ in at most d of them."""
+    return np.packbits(np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def wide_parities(tokens: np.ndarray) -> bytes | None:
+    """At least two bits a token, in a power of two, where PARITY_BITS are fewer."""
+    bits = 1 << (2 * len(tokens) - 1).bit_length() if len(tokens) else 0
+    return parities(tokens, bits) if bits > PARITY_BITS else None
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """How many wide parities differ; the wider row is folded."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 class Heat:
@@ -136,7 +157,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node, parity of every document; and heavy tokens of a stretch (hot, hot_counts)."""
+    """doc_id, n_shingles, node, parity, wide of every document; and heavy tokens of a stretch (hot, hot_counts)."""
     ship_code(docs.sparkSession)
 
     def run(batches):
@@ -149,12 +170,12 @@ def nodes(docs: DataFrame) -> DataFrame:
             keep = counts >= max(8, size >> HOT_BITS)
             return tokens[keep].view(np.int64).tolist(), counts[keep].tolist()
 
-        def record(ids, n, node, parity, hot, counts):
+        def record(ids, n, node, parity, wide, hot, counts):
             pad = [None] * (len(ids) - 1)
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(parity, pa.binary()),
+                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(parity, pa.binary()), pa.array(wide, pa.binary()),
                  pa.array([hot, *pad], pa.list_(pa.int64())), pa.array([counts, *pad], pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "parity", "hot", "hot_counts"],
+                names=["doc_id", "n_shingles", "node", "parity", "wide", "hot", "hot_counts"],
             )
 
         for batch in batches:
@@ -170,11 +191,11 @@ def nodes(docs: DataFrame) -> DataFrame:
                 if size > HOT_TOKENS:
                     hot, counts = heavy()
                     held, size, seen = [], 0, set()
-                yield record(ids[first : first + len(sets)], [len(t) for t in sets], own, [parities(t) for t in sets], hot, counts)
+                yield record(ids[first : first + len(sets)], [len(t) for t in sets], own, [parities(t) for t in sets], [wide_parities(t) for t in sets], hot, counts)
         if held:
-            yield record([None], [None], [None], [None], *heavy())
+            yield record([None], [None], [None], [None], [None], *heavy())
 
-    schema = "doc_id long, n_shingles long, node long, parity binary, hot array<long>, hot_counts array<long>"
+    schema = "doc_id long, n_shingles long, node long, parity binary, wide binary, hot array<long>, hot_counts array<long>"
     return docs.select("doc_id", text_of("text").alias("text")).mapInArrow(run, schema)
 
 
@@ -220,14 +241,14 @@ def indexed(docs: DataFrame, heat: Heat) -> DataFrame:
 
 
 def groups(index: DataFrame) -> DataFrame:
-    """(sign, node, hub) of all signatures that several nodes share; the hub is the first of them.
+    """(sign, node, place) of all signatures that several nodes share; places count a group's nodes from 0.
 
     A pass over sorted rows that keeps one row back: a group may be of any size.
     """
 
     def run(batches):
-        sign = hub = last = None
-        alone = False  # the group so far is the hub alone, not yet yielded
+        sign = last = None
+        seen = 0  # nodes of the running group; a first one alone isn't yielded yet
         for batch in batches:
             s, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             if not len(s):
@@ -239,22 +260,21 @@ def groups(index: DataFrame) -> DataFrame:
             s, n = s[keep], n[keep]
             if not len(s):
                 continue
-            if alone:
-                s, n = np.concatenate(([sign], s)), np.concatenate(([hub], n))
+            if seen == 1:
+                s, n, seen = np.concatenate(([sign], s)), np.concatenate(([last], n)), 0
             begin = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
             size = np.diff(np.append(begin, len(s)))
-            hubs = n[begin].copy()
-            goes_on = not alone and sign is not None and s[0] == sign
-            if goes_on:
-                hubs[0] = hub
+            place = np.arange(len(s)) - np.repeat(begin, size)
+            before = seen if seen and s[0] == sign else 0
+            place[: size[0]] += before
             shared = size > 1
-            shared[0] |= goes_on
-            sign, hub, last, alone = s[-1], hubs[-1], n[-1], not shared[-1]
+            shared[0] |= before > 0
+            sign, last, seen = s[-1], n[-1], int(place[-1]) + 1
             out = np.repeat(shared, size)
             if out.any():
-                yield pa.RecordBatch.from_arrays([pa.array(s[out]), pa.array(n[out]), pa.array(np.repeat(hubs, size)[out])], names=["sign", "node", "hub"])
+                yield pa.RecordBatch.from_arrays([pa.array(s[out]), pa.array(n[out]), pa.array(place[out])], names=["sign", "node", "place"])
 
-    return index.repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(run, "sign long, node long, hub long")
+    return index.repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(run, "sign long, node long, place long")
 
 
 def word_shingles(text: str) -> set[bytes]:
@@ -325,75 +345,176 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """(sign, node, comp) of the groups whose nodes aren't all in one component."""
-    rows = shared.select("sign", "node").join(labels, "node", "left").select("sign", "node", F.coalesce("comp", "node").alias("comp"))
+    rows = shared.join(labels, "node", "left").select("sign", "node", "place", F.coalesce("comp", "node").alias("comp"))
     mixed = rows.groupBy("sign").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sign")
     return rows.join(mixed, "sign")
 
 
-def _within(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (hub, node) of different components in a group that the bit parities and sizes don't rule out."""
-    full = rows.join(known.select("node", "n_shingles", "parity"), "node").select("sign", "node", "comp", "n_shingles", "parity")
-
-    def compare(n, c, size, bits):
-        for i in range(len(n) - 1):
-            most = (size[i] + size[i + 1 :]) // 9
-            apart = np.bitwise_count(bits[i] ^ bits[i + 1 :]).sum(1)
-            lo, hi = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
-            for j in np.flatnonzero((c[i + 1 :] != c[i]) & (apart <= most) & (100 * lo >= 80 * hi)):
-                a, b = n[i], n[i + 1 + j]
-                yield (a, b) if a < b else (b, a)
+class Members:
+    """Rows of groups, sorted: what a task compares."""
+
+    def __init__(self, table: pa.Table):
+        column = lambda name: table.column(name).combine_chunks()
+        self.sign, self.cell, self.role, self.node, self.comp, self.size, self.block = (
+            column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("sign", "cell", "role", "node", "comp", "n_shingles", "block"))
+        held = column("parity")
+        self.bits = np.frombuffer(b"".join(held.to_pylist()), np.uint64).reshape(len(held), -1)
+        self.wide = column("wide")
+
+    def possible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of rows (a, b) sizes and parities don't rule out."""
+        lo, hi = np.minimum(self.size[a], self.size[b]), np.maximum(self.size[a], self.size[b])
+        out = 100 * lo >= 80 * hi
+        at = np.flatnonzero(out)
+        x, y = (v if v.ndim == 0 else v[at] for v in (np.asarray(a), np.asarray(b)))
+        apart, most = np.bitwise_count(self.bits[x] ^ self.bits[y]).sum(-1), (lo[at] + hi[at]) // 9
+        out[at] = apart <= most
+        for k in np.flatnonzero(out & (lo > PARITY_BITS // 2)):
+            p, q = (self.wide[int(v if np.ndim(v) == 0 else v[k])].as_py() for v in (a, b))
+            out[k] = p is None or q is None or least_difference(p, q) <= (lo[k] + hi[k]) // 9
+        return out
+
+    def proposals(self, quota: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows (a, b) of the proposed pairs."""
+        begin = np.flatnonzero(np.concatenate(([True], (self.sign[1:] != self.sign[:-1]) | (self.cell[1:] != self.cell[:-1]))))
+        size = np.diff(np.append(begin, len(self.sign)))
+        plain = (size <= SMALL) & ~np.logical_or.reduceat(self.role != 0, begin)
+        found = []
+        for n in range(2, SMALL + 1):
+            first = begin[plain & (size == n)]
+            for i in range(n - 1) if len(first) else ():
+                for j in range(i + 1, n):
+                    a, b = first + i, first + j
+                    open_ = self.comp[a] != self.comp[b]
+                    a, b = a[open_], b[open_]
+                    ok = self.possible(a, b)
+                    found.append((a[ok], b[ok]))
+        for at, n in zip(begin[~plain], size[~plain]):
+            found += self._large(int(at), int(at + n), quota)
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _large(self, at: int, to: int, quota: int) -> list[tuple]:
+        # Pairs that were verified and aren't linked come first, then the nodes.
+        apart: dict[int, list[int]] = {}
+        while at < to and self.role[at] == -1:
+            apart.setdefault(self.node[at], []).append(self.comp[at])
+            apart.setdefault(self.comp[at], []).append(self.node[at])
+            at += 1
+        node, block = self.node[at:to], self.block[at:to]
+        label = np.unique(self.comp[at:to], return_inverse=True)[1]
+        crossed = at < to and self.role[at] == 1
+        agreed: dict[tuple, int] = {}
+        out = []
+        for i in range(to - at - 1):
+            far = label[i + 1 :] != label[i]
+            if crossed:
+                far &= block[i + 1 :] != block[i]
+            far = np.flatnonzero(far) + i + 1
+            if not len(far):
+                continue
+            far = far[self.possible(np.asarray(at + i), at + far)]
+            if node[i] in apart:
+                far = far[~np.isin(node[far], apart[node[i]])]
+            if not len(far):
+                continue
+            far = far[np.argsort(label[far], kind="stable")]
+            begin = np.flatnonzero(np.concatenate(([True], label[far][1:] != label[far][:-1])))
+            runs = np.diff(np.append(begin, len(far)))
+            taken = far[np.arange(len(far)) - np.repeat(begin, runs) < quota]
+            out.append((np.full(len(taken), at + i), at + taken))
+            for other, n in zip(label[far][begin].tolist(), runs.tolist()):
+                own = int(label[i])
+                pair = (min(own, other), max(own, other))
+                agreed[pair] = agreed.get(pair, 0) + min(n, quota)
+                if agreed[pair] >= quota:
+                    label[label == other] = own
+        return out
+
+
+def _cells(rows: DataFrame, hot: DataFrame, across: bool) -> DataFrame:
+    """rows with cell, role and block: which tasks of its group a node goes to. Role 1 marks tasks of two blocks."""
+    block = F.floor(F.col("place") / BLOCK)
+    own = rows.join(hot, "sign", "left").withColumns({"block": block, "blocks": F.coalesce("blocks", F.lit(1).cast("long"))})
+    if not across:
+        return own.withColumns({"cell": F.col("block"), "role": F.lit(0)}).drop("blocks", "place")
+    all_ = own.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cell = F.least("block", "to") * F.col("blocks") + F.greatest("block", "to")
+    return all_.withColumns({"cell": cell, "role": (F.col("block") != F.col("to")).cast("int")}).drop("blocks", "place", "to")
+
+
+def proposed(rows: DataFrame, known: DataFrame, hot: DataFrame, apart: DataFrame | None, quota: int) -> DataFrame:
+    """(sign, hub, node): pairs of different components to verify, of rows (sign, node, place, comp)."""
+    ship_code(rows.sparkSession)
+    celled = _cells(rows, hot, apart is not None)
+    full = celled.join(known.select("node", "n_shingles", "parity", "wide"), "node")
+    columns = ["sign", "cell", "role", "node", "comp", "n_shingles", "block", "parity", "wide"]
+    full = full.select(columns)
+    if apart is not None:
+        place = celled.select("sign", "cell", "node")
+        first = apart.join(place.withColumnRenamed("node", "hub"), "hub")
+        both = first.join(place, ["sign", "cell", "node"])
+        nothing = F.lit(bytes(PARITY_BITS // 8))
+        full = full.unionByName(both.select(
+            "sign", "cell", F.lit(-1).alias("role"), F.col("hub").alias("node"), F.col("node").alias("comp"), F.lit(0).cast("long").alias("n_shingles"),
+            F.lit(0).cast("long").alias("block"), nothing.alias("parity"), F.lit(None).cast("binary").alias("wide")))
+
+    def found(table):
+        members = Members(table)
+        a, b = members.proposals(quota)
+        x, y = members.node[a], members.node[b]
+        return pa.RecordBatch.from_arrays([pa.array(members.sign[a]), pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["sign", "hub", "node"])
 
     def run(batches):
-        held, sign = [], None
-
-        def flush():
-            n, c, size = (np.asarray([x[i] for x in held], np.int64) for i in (0, 1, 2))
-            bits = np.frombuffer(b"".join(x[3] for x in held), np.uint64).reshape(len(held), -1)
-            found = sorted(set(compare(n, c, size, bits)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["hub", "node"]
-            )
-
+        held, rows_held = [], 0
         for batch in batches:
-            for s, *row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
-                if s != sign and held:
-                    yield flush()
-                    held = []
-                sign = s
-                held.append(row)
+            if not batch.num_rows:
+                continue
+            s, c = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            edges = np.flatnonzero((s[1:] != s[:-1]) | (c[1:] != c[:-1])) + 1
+            new = not held or held[-1].column(0)[-1].as_py() != s[0] or held[-1].column(1)[-1].as_py() != c[0]
+            cut = int(edges[-1]) if len(edges) else 0  # the batch's last group starts here
+            if (cut or new) and rows_held + cut:
+                yield found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held, rows_held = [], 0
+            held.append(batch.slice(cut))
+            rows_held += batch.num_rows - cut
         if held:
-            yield flush()
+            yield found(pa.Table.from_batches(held))
 
-    return full.repartition("sign").sortWithinPartitions("sign", "node").mapInArrow(run, "hub long, node long").distinct()
+    dealt = full.repartition("sign", "cell").sortWithinPartitions("sign", "cell", "role", "node")
+    return dealt.mapInArrow(run, "sign long, hub long, node long")
 
 
 def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): rows is doc_id, n_shingles, node of each document; labels (node, comp) of linked nodes."""
     everything = saved(nodes(docs), "jaccard-nodes")
-    rows = everything.where("node is not null").select("doc_id", "n_shingles", "node", "parity")
+    rows = everything.where("node is not null").select("doc_id", "n_shingles", "node", "parity", "wide")
     known = saved(
         rows.where("doc_id is not null and n_shingles > 3").groupBy("node")
-        .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("parity").alias("parity")), "jaccard-known",
+        .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("parity").alias("parity"), F.max("wide").alias("wide")), "jaccard-known",
     )
     shared = saved(groups(indexed(docs, heat_of(everything))), "jaccard-groups")
-    tested = saved(verified(shared.where("hub <> node").select("hub", "node").distinct(), known, docs), "jaccard-tested")
-    labels = components(tested.where("linked"))
-    for final in (False, True):
-        rest = saved(_open(shared, labels), "jaccard-open")
-        if rest.isEmpty():
+    hot = saved(shared.where(F.col("place") >= BLOCK).groupBy("sign").agg((F.floor(F.max("place") / BLOCK) + 1).alias("blocks")), "jaccard-hot")
+    open_, tested, labels, quota = shared.withColumn("comp", F.col("node")), None, None, 1
+    while True:
+        apart = None if tested is None else tested.where("not linked").select("hub", "node")
+        found = saved(proposed(open_, known, hot, apart, quota), "jaccard-proposed")
+        if tested is not None and found.isEmpty():
             break
-        if final:
-            more = _within(rest, known)
+        fresh = verified(found.select("hub", "node").distinct(), known, docs)
+        active = found.select("sign")
+        if tested is None:
+            active = active.unionByName(hot.select("sign"))
         else:
-            # A second hub: the last node outside the component of the group's first.
-            hubs = rest.groupBy("sign").agg(F.max(F.struct("comp", "node")).alias("h")).select("sign", F.col("h.comp").alias("hc"), F.col("h.node").alias("h"))
-            away = rest.join(hubs, "sign").where("comp <> hc")
-            more = away.select(F.least("h", "node").alias("hub"), F.greatest("h", "node").alias("node")).distinct()
-        fresh = saved(more.join(tested.select("hub", "node"), ["hub", "node"], "left_anti"), "jaccard-more")
-        if fresh.isEmpty():
-            continue
-        tested = saved(tested.unionByName(verified(fresh, known, docs)), "jaccard-tested")
+            fresh = fresh.unionByName(tested)
+        tested = saved(fresh, "jaccard-tested")
         labels = components(tested.where("linked"))
+        open_ = saved(_open(shared.join(active.distinct(), "sign", "left_semi"), labels), "jaccard-open")
+        if open_.isEmpty():
+            break
+        quota = quota * QUOTA
     return rows.select("doc_id", "n_shingles", "node"), labels
 
 

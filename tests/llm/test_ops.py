@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -528,7 +529,58 @@ def test_group_pass_over_batches(spark):
         got = sorted(map(tuple, jaccard_join.groups(index).collect()))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert got == sorted((s, n, 0) for s, n in set(rows) if s % 3)
+    assert got == sorted((s, n, n) for s, n in set(rows) if s % 3)
+
+
+def varied(rng, words, edits):
+    words = list(words)
+    for k in rng.choice(len(words), edits, replace=False):
+        words[k] = f"e{rng.integers(0, 10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_one_large_group_of_near_copies(spark, monkeypatch, block):
+    """Copies of one text at all distances, so that many of the group's pairs link and many don't; also in several blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rng = np.random.default_rng(17)
+    base = [f"w{i}" for i in range(150)]
+    texts = [varied(rng, base, int(rng.integers(2, 9))) for _ in range(150)]
+    rows = list(enumerate(texts))
+    got = jaccard_join.join(frame(spark, texts)).collect()
+    assert listed(got) == listed(brute_components(rows))
+    assert 3 < len({r.component_id for r in got}) < 150
+
+
+def test_large_group_proposes_in_proportion(spark):
+    """A group of n nodes that link densely proposes about n pairs, not n * n."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 300).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[rng.random(300) > 0.02], rng.integers(0, 1 << 62, 3).astype(np.uint64)))) for _ in range(200)]
+    table = pa.table({
+        "sign": np.ones(200, np.int64), "cell": np.zeros(200, np.int64), "role": np.zeros(200, np.int64), "node": np.arange(200), "comp": np.arange(200),
+        "n_shingles": [len(s) for s in sets], "block": np.zeros(200, np.int64), "parity": pa.array([jaccard_join.parities(s) for s in sets], pa.binary()),
+        "wide": pa.array([jaccard_join.wide_parities(s) for s in sets], pa.binary())})
+    assert len(jaccard_join.Members(table).proposals(1)[0]) == 199
+
+
+def test_wide_parities_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for n, shared in ((5000, 0), (5000, 4800), (900, 700), (600, 590)):
+        common = rng.integers(0, 1 << 62, shared).astype(np.uint64)
+        a, b = (np.unique(np.concatenate((common, rng.integers(0, 1 << 62, k).astype(np.uint64)))) for k in (n - shared, int(1.05 * n) - shared))
+        least = jaccard_join.least_difference(jaccard_join.wide_parities(a), jaccard_join.wide_parities(b))
+        assert least <= len(np.setxor1d(a, b))
+        assert (least > (len(a) + len(b)) // 9) == (shared == 0 or n == 900), (n, shared)
+    assert jaccard_join.wide_parities(common[:512]) is None
+
+
+def test_long_documents(spark):
+    """Documents of some 5,000 shingles: copies that link, copies that don't, and unlike ones."""
+    rng = np.random.default_rng(23)
+    base = [f"w{rng.integers(0, 10**7)}" for _ in range(5000)]
+    texts = [varied(rng, base, k) for k in (20, 60, 95, 130, 200, 400)] + [" ".join(f"v{rng.integers(0, 10**7)}" for _ in range(5000)) for _ in range(4)]
+    assert listed(jaccard_join.join(frame(spark, texts)).collect()) == listed(brute_components(list(enumerate(texts))))
 
 
 def test_jaccard_representatives_and_empty(spark):
