@@ -147,12 +147,13 @@ def listed(rows):
     return sorted([tuple(r) for r in rows], key=str)
 
 
-@pytest.mark.parametrize("capacity,depth", [(1 << 16, 16), (1, 3), (2, 8)])
-def test_exact_dedup_against_brute_force(spark, capacity, depth):
+@pytest.mark.parametrize("capacity,depth,bits", [(1 << 16, 16, 60), (1, 3, 60), (2, 8, 60), (1, 3, 4)])
+def test_exact_dedup_against_brute_force(spark, capacity, depth, bits):
+    """Also with keys of 4 bits, so that chains hold different texts."""
     texts = ODD + ["a b c", "abc", "a\tb\nc  ", "abd"] + [f"t{i % 7} x" for i in range(30)]
     docs = frame(spark, texts)
     rows = [(t if isinstance(t, tuple) else (i, t)) for i, t in enumerate(texts)]
-    got = exact_dedup.dedup(docs, capacity, depth).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    got = exact_dedup.dedup(docs, capacity, depth, bits).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
     assert listed(got) == listed(brute_dedup(rows))
 
 
@@ -164,6 +165,33 @@ def test_directory_splits_overfull_buckets_only(spark):
     assert slots[4][0] == 2 and slots[6] == (3, 6)  # fits at depth 2; overfull at the last depth
 
 
+def test_index_chains_collisions_by_bytes_and_owners_take_key_ranges(spark):
+    docs = frame(spark, [f"t{i % 40}" for i in range(200)])
+    index, slots = exact_dedup.build_index(docs, capacity=4, max_depth=3, key_bits=4)
+    rows, cells = index.collect(), slots.collect()
+    assert len(rows) == 40 and sum(r.group_size for r in rows) == 200
+    chains = defaultdict(list)
+    for r in rows:
+        chains[r.key].append((r.chain, r.text_sha256))
+    assert len(chains) <= 16 and max(map(len, chains.values())) > 1
+    for chain in chains.values():
+        assert sorted(c for c, _ in chain) == list(range(len(chain))) and len({s for _, s in chain}) == len(chain)
+    held = {r.bucket: r.owner for r in cells}
+    assert all(held[r.bucket] == r.owner for r in rows)
+    small = exact_dedup.directory(spark.range(64).selectExpr("id as key"), capacity=4, max_depth=5, key_bits=6, owned=16).orderBy("cell").collect()
+    assert [r.owner for r in small] == sorted(r.owner for r in small) and len({r.owner for r in small}) == 4
+    assert {r.local_depth for r in small} == {4}
+
+
+def test_probes_need_the_directory(spark):
+    docs = frame(spark, ["a b", "ab", "c", "d"])
+    index, slots = exact_dedup.build_index(docs)
+    marked = docs.selectExpr("doc_id", "sha2(replace(text, ' ', ''), 256) as __sha")
+    assert exact_dedup._probe(marked, index, slots, 16, 60).count() == 4
+    assert exact_dedup._probe(marked, index, slots.where("false"), 16, 60).count() == 0
+    assert exact_dedup._probe(marked, index, slots.withColumn("bucket", slots.bucket + 1), 16, 60).count() == 0
+
+
 def test_exact_dedup_survivors(spark):
     texts = ["a b", "ab", "a  b", "c", (3, "c"), None, ""]
     docs = frame(spark, texts)
