@@ -25,19 +25,24 @@ from heliograph.llm.common import SPACE, text_of
 from heliograph.runtime import saved
 
 MAX_DEPTH = 16
-CAPACITY = 1 << 16
+CAPACITY = 1 << 12
 KEY_BITS = 60
 SALTS = 8
-OWNED = 1 << 18  # runs of an owner; its buckets' overhang comes on top
+OWNED = 1 << 12  # runs of an owner; its buckets' overhang comes on top
 
 
 def _normalised(text: Column) -> Column:
     return F.regexp_replace(text, SPACE + "+", "")
 
 
+def _digest(text: Column) -> Column:
+    """Never null, so that joins add no filter that would hash every text once more."""
+    return F.coalesce(F.sha2(text.cast("binary"), 256), F.lit(""))
+
+
 def _key(digest: Column, key_bits: int) -> Column:
     """The digest's first bits as a non-negative long."""
-    return F.shiftright(F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long"), KEY_BITS - key_bits)
+    return F.shiftright(F.coalesce(F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long"), F.lit(0)), KEY_BITS - key_bits)
 
 
 def _cell(key: Column, key_bits: int, max_depth: int) -> Column:
@@ -51,8 +56,7 @@ def runs(docs: DataFrame, key_bits: int = KEY_BITS) -> DataFrame:
     rows = docs.select("doc_id", F.char_length(text).alias("n_points"), _normalised(text).alias("body"), salt.alias("salt"))
     best = F.min(F.struct((-F.col("n_points")).alias("neg"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id")))
     combined = rows.groupBy("salt", "body").agg(best.alias("best"), F.count(F.lit(1)).alias("rows"))
-    sha = F.sha2(F.col("body").cast("binary"), 256)
-    return combined.select(sha.alias("text_sha256"), "body", "best", "rows").withColumn("key", _key(F.col("text_sha256"), key_bits))
+    return combined.select(_digest(F.col("body")).alias("text_sha256"), "body", "best", "rows").withColumn("key", _key(F.col("text_sha256"), key_bits))
 
 
 def directory(keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH, key_bits: int = KEY_BITS, owned: int = OWNED) -> DataFrame:
@@ -66,7 +70,8 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DE
     prefix = F.expr(f"shiftright(cell, {max_depth} - depth)")
     totals = levels.groupBy("depth", prefix.alias("prefix")).agg(F.sum("n").alias("total"))
     fits = totals.where((F.col("total") <= capacity) | (F.col("depth") == max_depth))
-    leaf = levels.withColumn("prefix", prefix).join(fits, ["depth", "prefix"]).groupBy("cell", "n").agg(F.min("depth").alias("local_depth"))
+    leaf = levels.withColumn("prefix", prefix).join(F.broadcast(fits), ["depth", "prefix"])  # at most 2**(max_depth + 1) rows
+    leaf = leaf.groupBy("cell", "n").agg(F.min("depth").alias("local_depth"))
     leaf = leaf.withColumn("bucket", F.expr(f"shiftleft(shiftright(cell, {max_depth} - local_depth), {max_depth} - local_depth)"))
     before = F.sum("n").over(Window.orderBy("bucket").rangeBetween(Window.unboundedPreceding, Window.currentRow)) - F.sum("n").over(Window.partitionBy("bucket"))
     return leaf.withColumn("owner", F.floor(before / owned).cast("int")).select("cell", "local_depth", "bucket", "owner")
@@ -112,7 +117,7 @@ def dedup(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH,
     An empty table gives an empty result; further columns are not read.
     """
     text = text_of("text")
-    probes = docs.select("doc_id", F.char_length(text).alias("n_points"), F.sha2(_normalised(text).cast("binary"), 256).alias("__sha"))
+    probes = docs.select("doc_id", F.char_length(text).alias("n_points"), _digest(_normalised(text)).alias("__sha"))
     found = _probe(probes, *build_index(docs, capacity, max_depth, key_bits), max_depth, key_bits)
     kept = F.col("doc_id").eqNullSafe(F.col("__keep")) & (F.col("n_points") == F.col("__points"))
     return found.select("doc_id", F.col("__keep").alias("keep_id"), F.col("__size").alias("group_size"), kept.alias("kept"), F.col("__sha").alias("text_sha256"))
@@ -122,7 +127,7 @@ def survivors(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DE
     """The rows of docs that stay, with their own columns; of rows that repeat one's doc_id and text, the least by their other columns."""
     text = text_of("text")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    marked = docs.select(F.struct(*columns).alias("__row"), F.col("doc_id").alias("__id"), F.char_length(text).alias("__n"), F.sha2(_normalised(text).cast("binary"), 256).alias("__sha"))
+    marked = docs.select(F.struct(*columns).alias("__row"), F.col("doc_id").alias("__id"), F.char_length(text).alias("__n"), _digest(_normalised(text)).alias("__sha"))
     index, slots = build_index(docs, capacity, max_depth, key_bits)
     rows = _probe(marked, index, slots, max_depth, key_bits).where(F.col("__id").eqNullSafe(F.col("__keep")) & (F.col("__n") == F.col("__points")))
     return rows.groupBy("__id", "__sha").agg(F.min("__row").alias("__row")).select("__row.*")
