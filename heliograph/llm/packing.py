@@ -1,12 +1,16 @@
 """Harmonic packing of token ids into sequences of at most CAPACITY tokens.
 
-A document is cut into pieces of exactly CAPACITY / m tokens, m a power of two (first as many whole
-sequences as it fills, then the binary digits of the rest, largest first). Class m holds the pieces
-of reciprocal size 1/m, and each of its bins takes exactly m pieces, so every full bin is without
-padding. Workers (partitions) fill their classes independently: no shuffle, no shared state, and one
-pass over the documents. What a worker is left with at its end is less than one bin per class; these
-pieces are laid out largest first, which fills bins exactly, and the last one falls apart into
-sequences whose lengths are powers of two, which need no padding either.
+A document of n <= CAPACITY tokens belongs to the reciprocal class m = CAPACITY // n, that of lengths
+in (CAPACITY / (m + 1), CAPACITY / m], and each bin of class m takes exactly m of its documents, whole.
+Workers (partitions) fill the bins of their classes independently: no shuffle and no shared state,
+in one pass. Longer documents have to be cut anyway, so they are what the space left over in
+closed bins is filled with; what they don't spend there makes sequences of its own. Bins that wait
+for such a document are kept, WAITING at most; beyond that the next document is cut for them,
+whatever its length.
+
+A worker's last open bins are merged largest document first and filled the same way, by cutting
+the emptiest of them. The one that can't be filled falls apart into sequences whose lengths are
+powers of two, which need no padding either.
 
 A sequence's id is its worker's number and its number there. A worker that is lost and run again
 reads the same rows and gives its sequences the same ids.
@@ -14,6 +18,7 @@ reads the same rows and gives its sequences the same ids.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,53 +32,91 @@ from heliograph.runtime import ship_code
 CAPACITY = 2048
 END_ID = 1
 WORKER_BITS = 40
+WAITING = 512  # closed bins with space left, 4 MB
+SPARE = 64  # sequences that are kept for such space, 0.5 MB
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
 class Worker:
-    """The classes and bins of one worker; pieces come out with their sequence and offset."""
+    """The bins of one worker; pieces (doc_id, start, ids, doc_tokens) come out with their sequence and offset."""
 
     def __init__(self, number: int, capacity: int):
         self.capacity, self.next = capacity, number << WORKER_BITS
-        self.open: dict[int, list] = {}  # by piece size: the pieces of the bin being filled
+        self.open: dict[int, list] = {}  # by class: the documents of the bin being filled
+        self.waiting: deque = deque()  # closed bins with space left: (pieces, tokens)
+        self.spare: deque = deque()  # pieces to cut from
+        self.spare_tokens = 0
         self.done: list = []
 
     def _place(self, pieces: list) -> None:
         at = 0
-        for piece, size in pieces:
-            self.done.append((*piece, self.next, at))
-            at += size
+        for doc_id, start, ids, tokens in pieces:
+            self.done.append((doc_id, start, len(ids) // 4, bytes(ids), tokens, self.next, at))
+            at += len(ids) // 4
         self.next += 1
 
-    def add(self, piece: tuple, size: int) -> None:
-        held = self.open.setdefault(size, [])
-        held.append((piece, size))
-        if len(held) * size == self.capacity:
-            self._place(held)
-            self.open[size] = []
+    def _cut(self, n: int) -> list:
+        """The next n spare tokens."""
+        out = []
+        while n:
+            doc_id, start, ids, tokens = self.spare.popleft()
+            take = min(n, len(ids) // 4)
+            out.append((doc_id, start, ids[: 4 * take], tokens))
+            if 4 * take < len(ids):
+                self.spare.appendleft((doc_id, start + take, ids[4 * take :], tokens))
+            n -= take
+            self.spare_tokens -= take
+        return out
+
+    def _keep(self, piece: tuple) -> None:
+        self.spare.append((*piece[:2], memoryview(piece[2]), piece[3]))
+        self.spare_tokens += len(piece[2]) // 4
+
+    def _fill(self) -> None:
+        while self.waiting and self.spare_tokens >= self.capacity - self.waiting[0][1]:
+            pieces, used = self.waiting.popleft()
+            self._place(pieces + self._cut(self.capacity - used))
+
+    def _close(self, pieces: list) -> None:
+        used = sum(len(x[2]) // 4 for x in pieces)
+        if used == self.capacity:
+            self._place(pieces)
+        else:
+            self.waiting.append((pieces, used))
+
+    def add(self, doc_id, ids: bytes) -> None:
+        n = len(ids) // 4
+        if n > self.capacity or len(self.waiting) >= WAITING:
+            self._keep((doc_id, 0, ids, n))
+        else:
+            m = self.capacity // n
+            held = self.open.setdefault(m, [])
+            held.append((doc_id, 0, ids, n))
+            if len(held) == m:
+                self._close(self.open.pop(m))
+        self._fill()
+        while self.spare_tokens >= SPARE * self.capacity:
+            self._place(self._cut(self.capacity))
 
     def close(self) -> None:
-        rest = [x for size in sorted(self.open, reverse=True) for x in self.open[size]]
-        left, room, held = sum(size for _, size in rest), 0, []
-        for x in rest:
-            if not held:
-                room = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-                left -= room
-            held.append(x)
-            room -= x[1]
-            if not room:
-                self._place(held)
-                held = []
+        rest = sorted((x for held in self.open.values() for x in held), key=lambda x: -len(x[2]))
         self.open = {}
-
-
-def pieces(n: int, capacity: int = CAPACITY) -> Iterator[tuple[int, int]]:
-    """(start, length) of the pieces of n tokens."""
-    start = 0
-    while start < n:
-        length = min(capacity, 1 << ((n - start).bit_length() - 1))
-        yield start, length
-        start += length
+        bins: list[tuple[list, int]] = []
+        for piece in rest:  # first fit, largest first; a bin for each class at most, so these are few
+            n = len(piece[2]) // 4
+            k = next((k for k, (_, used) in enumerate(bins) if used + n <= self.capacity), len(bins))
+            held, used = bins[k] if k < len(bins) else ([], 0)
+            bins[k : k + 1] = [([*held, piece], used + n)]
+        for held, _ in bins:
+            self._close(held)
+        self.waiting = deque(sorted(self.waiting, key=lambda x: -x[1]))
+        self._fill()
+        while self.waiting:  # too little is spare: the emptiest bin is cut for the others
+            for piece in self.waiting.pop()[0]:
+                self._keep(piece)
+            self._fill()
+        while self.spare_tokens:
+            self._place(self._cut(min(self.capacity, 1 << (self.spare_tokens.bit_length() - 1))))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -96,9 +139,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             for doc_id, ids in encoded(encode, batch.column(0), batch.column(1)):
-                ids, n = ids + end, len(ids) // 4 + 1
-                for start, length in pieces(n, capacity):
-                    worker.add((doc_id, start, length, ids[4 * start : 4 * (start + length)], n), length)
+                worker.add(doc_id, ids + end)
                 if len(worker.done) >= 1024:
                     yield _batch(worker)
         worker.close()
