@@ -76,16 +76,19 @@ def time_of(fraction: Column, slot: Column, schedules=SCHEDULES) -> Column:
     return F.least(F.greatest(out, F.lit(0.0)), F.lit(1.0))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap: int = CAP, schedules=SCHEDULES) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap: int = CAP, schedules=SCHEDULES, by_document: bool = False) -> DataFrame:
     """One row per document, sorted by training position: doc_id, source, size, source_size, target, taken,
     copies (whole copies after rounding), position (time of its first copy; null if none is taken).
 
     `taken` counts the words that the mix takes, repeats included: the copy at which a source's
     demand ends is cut there, so a source's taken words are its target rounded down. Null text has
     size 0, a null source is a source of its own. Repeated rows (one doc_id) follow each other in the
-    stream. An empty table gives an empty result.
+    stream; with by_document they are one document of their sizes' sum. An empty table gives an empty result.
     """
-    rows = saved(sized(docs), "mix-sizes")
+    rows = sized(docs)
+    if by_document:
+        rows = rows.groupBy("doc_id", "source", "place", "bucket").agg(F.sum("size").alias("size"))
+    rows = saved(rows, "mix-sizes")
     buckets = saved(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     goals = targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,14 +116,16 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix in training order, a document taken twice as two rows.
 
     Whole documents only: the copy at which a source's demand ends is taken if at least half of it
-    is. Documents without words have nothing to take.
+    is. Documents without words have nothing to take. Rows that repeat a doc_id and source are one
+    document, taken or left together.
     """
-    plan = mix(docs, **settings).where("copies > 0")
+    plan = mix(docs, by_document=True, **settings).where("copies > 0")
     epochs = plan.select(
-        F.col("doc_id").alias("__id"), "copies", "slot", "source_size", "target", "stream_start",
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "slot", "source_size", "target", "stream_start",
         F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("epoch"),
     )
     at = F.least((F.col("stream_start") + F.col("epoch") * F.col("source_size")) / F.col("target"), F.lit(1.0))
-    timed = epochs.select("__id", time_of(at, F.col("slot"), settings.get("schedules", SCHEDULES)).alias("__at")).distinct()
-    joined = docs.join(timed, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return joined.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*[docs[c] for c in docs.columns])
+    timed = epochs.select("__id", "__source", time_of(at, F.col("slot"), settings.get("schedules", SCHEDULES)).alias("__at"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+    joined = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), "doc_id", "source").join(timed, same)
+    return joined.repartitionByRange("__at", "__id").sortWithinPartitions("__at", "__id").select("__row.*")

@@ -157,7 +157,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node, parity, wide of every document; and heavy tokens of a stretch (hot, hot_counts)."""
+    """doc_id, text_hash, n_shingles, node, parity, wide of every document; and heavy tokens of a stretch (hot, hot_counts)."""
     ship_code(docs.sparkSession)
 
     def run(batches):
@@ -170,16 +170,16 @@ def nodes(docs: DataFrame) -> DataFrame:
             keep = counts >= max(8, size >> HOT_BITS)
             return tokens[keep].view(np.int64).tolist(), counts[keep].tolist()
 
-        def record(ids, n, node, parity, wide, hot, counts):
+        def record(ids, text_hash, n, node, parity, wide, hot, counts):
             pad = [None] * (len(ids) - 1)
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(parity, pa.binary()), pa.array(wide, pa.binary()),
+                [pa.array(ids, pa.int64()), pa.array(text_hash, pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(parity, pa.binary()), pa.array(wide, pa.binary()),
                  pa.array([hot, *pad], pa.list_(pa.int64())), pa.array([counts, *pad], pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "parity", "wide", "hot", "hot_counts"],
+                names=["doc_id", "text_hash", "n_shingles", "node", "parity", "wide", "hot", "hot_counts"],
             )
 
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             for first, sets in _sets(batch):
                 own = [node_of(t) for t in sets]
                 for node, t in zip(own, sets):
@@ -191,12 +191,13 @@ def nodes(docs: DataFrame) -> DataFrame:
                 if size > HOT_TOKENS:
                     hot, counts = heavy()
                     held, size, seen = [], 0, set()
-                yield record(ids[first : first + len(sets)], [len(t) for t in sets], own, [parities(t) for t in sets], [wide_parities(t) for t in sets], hot, counts)
+                yield record(ids[first : first + len(sets)], hashes[first : first + len(sets)], [len(t) for t in sets], own, [parities(t) for t in sets], [wide_parities(t) for t in sets], hot, counts)
         if held:
-            yield record([None], [None], [None], [None], [None], *heavy())
+            yield record(*[[None]] * 6, *heavy())
 
-    schema = "doc_id long, n_shingles long, node long, parity binary, wide binary, hot array<long>, hot_counts array<long>"
-    return docs.select("doc_id", text_of("text").alias("text")).mapInArrow(run, schema)
+    schema = "doc_id long, text_hash long, n_shingles long, node long, parity binary, wide binary, hot array<long>, hot_counts array<long>"
+    text = text_of("text")
+    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(run, schema)
 
 
 def heat_of(rows: DataFrame) -> Heat:
@@ -488,9 +489,9 @@ def proposed(rows: DataFrame, known: DataFrame, hot: DataFrame, apart: DataFrame
 
 
 def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, labels): rows is doc_id, n_shingles, node of each document; labels (node, comp) of linked nodes."""
+    """(rows, labels): rows is doc_id, text_hash, n_shingles, node of each document; labels (node, comp) of linked nodes."""
     everything = saved(nodes(docs), "jaccard-nodes")
-    rows = everything.where("node is not null").select("doc_id", "n_shingles", "node", "parity", "wide")
+    rows = everything.where("node is not null").select("doc_id", "text_hash", "n_shingles", "node", "parity", "wide")
     known = saved(
         rows.where("doc_id is not null and n_shingles > 3").groupBy("node")
         .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("parity").alias("parity"), F.max("wide").alias("wide")), "jaccard-known",
@@ -515,7 +516,7 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if open_.isEmpty():
             break
         quota = quota * QUOTA
-    return rows.select("doc_id", "n_shingles", "node"), labels
+    return rows.select("doc_id", "text_hash", "n_shingles", "node"), labels
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -536,7 +537,14 @@ def join(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of docs of which their component's smallest doc_id stays, with their own columns, each once."""
-    stay = join(docs).where("doc_id is null or component_id = doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return kept.select(*[docs[c] for c in docs.columns])
+    """The rows of docs that stay, with their own columns: of each component the one with the smallest
+    doc_id (if several texts have it, that with the least hash). Rows that repeat its doc_id and text
+    stay with it. Rows without words or without a doc_id all stay.
+    """
+    rows, labels = linked_components(docs)
+    placed = rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    first = placed.where(~alone).groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("s")).select("s.doc_id", "s.text_hash")
+    stay = first.unionByName(placed.where(alone).select("doc_id", "text_hash").distinct()).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    marked = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), "doc_id", F.xxhash64(text_of("text")).alias("__own"))
+    return marked.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash"))).select("__row.*")

@@ -151,8 +151,9 @@ def fit(doc: np.ndarray, features: np.ndarray, label: np.ndarray, steps: int = S
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
-    """Fits the field. Labels of held-out documents and null labels are left out; of contradictory
-    labels of one document the lower holds."""
+    """Fits the field on at most sample_docs documents, of longer ones than SAMPLE_LINES on that many
+    lines from a place that depends on doc_id. Labels of held-out documents and null labels are left
+    out; of contradictory labels of one document the lower holds."""
     ship_code(docs.sparkSession)
     usable = labels.where(F.col("quality").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string")) % 4 != HELD_OUT))
     chosen = usable.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
@@ -164,13 +165,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
             for first, end, data, starts in textvec.blocks(batch.column(2).cast(pa.binary()).to_pylist()):
                 doc, _, features = line_features(data, starts)
                 cut = np.searchsorted(doc, np.arange(end - first + 1))
-                parts = [features[a:b].tobytes() if b - a <= SAMPLE_LINES else None for a, b in zip(cut, cut[1:])]
+                skipped = [0 if i is None else int(i) * 0x9E3779B1 % max(1, int(b - a) - SAMPLE_LINES + 1) for i, a, b in zip(ids[first:end], cut, cut[1:])]
+                parts = [features[a + k : min(a + k + SAMPLE_LINES, b)].tobytes() for k, a, b in zip(skipped, cut, cut[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[first:end], pa.int64()), pa.array(label[first:end], pa.int32()), pa.array(parts, pa.binary())],
                     names=["doc_id", "quality", "lines"],
                 )
 
-    found = texts.mapInArrow(lines, "doc_id long, quality int, lines binary").where("lines is not null")
+    found = texts.mapInArrow(lines, "doc_id long, quality int, lines binary")
+    found = found.orderBy(F.xxhash64("doc_id"), "doc_id", "lines").limit(sample_docs)  # repeated doc_ids can't exceed the bound
     rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.quality, bytes(r.lines)))
     parts = [np.frombuffer(bytes(r.lines), np.float32).reshape(-1, N_FEATURES) for r in rows]
     doc = np.repeat(np.arange(len(parts)), [len(x) for x in parts])

@@ -264,11 +264,55 @@ def test_packing_covers_every_id_without_gaps(spark, library, capacity):
     assert packing.pack(docs.where("false"), tokenizer_path()).count() == 0
 
 
-def test_pieces_are_reciprocal():
-    for n in (1, 2047, 2048, 5000):
-        cut = list(packing.pieces(n))
-        assert sum(x for _, x in cut) == n and all(2048 % x == 0 for _, x in cut)
-        assert [a for a, _ in cut] == np.cumsum([0] + [x for _, x in cut])[:-1].tolist()
+def packed_by_one_worker(sizes, capacity=2048):
+    worker = packing.Worker(0, capacity)
+    for i, n in enumerate(sizes):
+        worker.add(i, bytes(4 * n))
+    worker.close()
+    sequences = defaultdict(list)
+    for doc, start, length, ids, tokens, seq, at in worker.done:
+        assert len(ids) == 4 * length and tokens == sizes[doc]
+        sequences[seq].append((at, doc, start, length))
+    return [sorted(x) for x in sequences.values()]
+
+
+def test_bins_hold_their_class_whole_and_long_documents_fill_them():
+    rng = np.random.default_rng(2)
+    sizes = np.concatenate((rng.lognormal(6.5, 1.1, 4000).astype(int) + 1, rng.integers(1, 30, 300))).clip(1, 40_000)
+    rng.shuffle(sizes)
+    sequences = packed_by_one_worker(sizes.tolist())
+    pieces = defaultdict(list)
+    for parts in sequences:
+        for _, doc, start, length in parts:
+            pieces[doc].append((start, length))
+    for doc, cut in pieces.items():
+        assert [a for a, _ in sorted(cut)] == np.cumsum([0] + [n for _, n in sorted(cut)])[:-1].tolist() and sum(n for _, n in cut) == sizes[doc]
+    assert all((n := sum(x[3] for x in parts)) == 2048 or n & (n - 1) == 0 for parts in sequences)
+    small = [d for d in pieces if sizes[d] <= 2048]
+    assert sum(len(pieces[d]) > 1 for d in small) < 0.01 * len(small)
+    counts = [[2048 // sizes[d] for _, d, _, _ in parts if sizes[d] <= 2048] for parts in sequences]
+    assert sum(len(set(c)) <= 1 and len(c) in (0, *c[:1]) for c in counts) > 0.98 * len(counts)  # m documents of class m
+
+
+@given(st.lists(st.integers(1, 70), max_size=60), st.sampled_from([1, 2, 16]))
+@settings(max_examples=200, deadline=None)
+def test_any_lengths_leave_no_padding(sizes, capacity):
+    sequences = packed_by_one_worker(sizes, capacity)
+    assert sum(x[3] for parts in sequences for x in parts) == sum(sizes)
+    for parts in sequences:
+        n = sum(x[3] for x in parts)
+        assert n <= capacity and n & (n - 1) == 0
+        assert [x[0] for x in parts] == np.cumsum([0] + [x[3] for x in parts])[:-1].tolist()
+
+
+def test_waiting_bins_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "WAITING", 4)
+    worker = packing.Worker(0, 2048)
+    for i in range(500):
+        worker.add(i, bytes(4 * 1500))
+        assert len(worker.waiting) <= 4 and worker.spare_tokens < 1 << 18
+    worker.close()
+    assert sum(x[2] for x in worker.done) == 500 * 1500
     with pytest.raises(ValueError):
         packing.pack(None, "", 100)
 
@@ -713,6 +757,47 @@ def test_query_equals_sql(spark, name):
     assert listed(got.select(*names).collect()) == listed([tuple(r[i] for i in order) for r in rows])
 
 
+def test_pipeline_with_repeated_ids_against_brute_force(spark):
+    """Repeated doc_ids, equal rows and clashing columns through exact, near, mixing and packing."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i // 2 if i < 20 else i, varied(rng, base, 1 + i % 3) if i % 4 else f"text {i} " * 8) for i in range(40)] + [(3, "same id, other text"), (None, "no id"), (None, None), (8, "")]
+    rows += rows[:6]
+    docs = frame(spark, rows, sources=["s" if i % 3 else "t" for i in range(len(rows))])
+    listed_rows = [(r.doc_id, r.text) for r in docs.collect()]
+    exact = saved(corpus_pipeline.exact(spark, docs, ""), "exact")
+    assert exact.columns == docs.columns
+    kept = {(r[0], t) for r, (_, t) in zip(brute_dedup(listed_rows), listed_rows) if r[3]}
+    assert sorted([(r.doc_id, r.text) for r in exact.collect()], key=str) == sorted(kept, key=str)
+    near = saved(corpus_pipeline.near(spark, exact, ""), "near")
+    pairs = [(r.doc_id, r.text) for r in exact.collect()]
+    sets, parent = [shingles(t) for _, t in pairs], list(range(len(pairs)))
+    linked = lambda a, b: sets[a] and sets[b] and None not in (pairs[a][0], pairs[b][0]) and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    for _ in pairs:
+        parent = [min(parent[b] for b in range(len(pairs)) if a == b or linked(a, b)) for a in range(len(pairs))]
+    groups = defaultdict(list)
+    for k, p in enumerate(parent):
+        groups[p].append(pairs[k])
+    got = [(r.doc_id, r.text) for r in near.collect()]
+    assert len(got) == len(groups) and all(sum(x in got and x[0] == min(g, key=str and (lambda y: (y[0] is None, y[0] or 0)))[0] for x in g) == 1 for g in groups.values())
+    mixed = saved(corpus_pipeline.mixing(spark, near, ""), "mixed")
+    sizes, counts = defaultdict(int), defaultdict(int)
+    for r in near.collect():
+        sizes[r.source] += len(WORD.findall(r.text or ""))
+    for r in mixed.collect():
+        counts[r.doc_id, r.text] += 1
+    assert mixed.columns == docs.columns and max(counts.values()) <= 2
+    goals = brute_targets({k: v for k, v in sizes.items()})
+    for source, goal in goals.items():
+        words = [len(WORD.findall(r.text or "")) for r in mixed.where(mixed.source == source).collect()]
+        assert abs(sum(words) - goal) <= max(words)
+    packed = corpus_pipeline.pack(spark, mixed, "").collect()
+    whole = sum(len(token_ids.encoder(tokenizer_path()).many([r.text or ""])[0]) // 4 + 1 for r in mixed.collect())
+    assert sum(r.length for r in packed) == whole
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
