@@ -3,14 +3,17 @@
 The language model is a modified Kneser-Ney model of characters, of order ORDER, one per language in
 one table. Spark counts the n-grams of all documents (each task sums its own first), and the model is
 computed from the counts by joins. An n-gram is its language's number, its context (21 bits a
-character, so every code point is itself) and its last character, so nothing is folded.
+character, so every code point is itself, three to a long) and its last character, so nothing is folded.
 
 All documents are counted, so each of their n-grams is in the model. Up to SHARED n-grams are sent to
 executors as sorted arrays of 64-bit keys; more are joined to the chunks of documents they occur in, and
-a task holds its chunk's n-grams alone. Both give the same values. Keys are searched by
-bisection. A document's perplexity is that of its characters; its language's band lies around the
-median, BAND robust deviations to either side. Chance moves a mean of n characters by 1 / sqrt(n), so
-deviations are measured times sqrt(n), in each language and class of length.
+a task holds its chunk's n-grams alone. Both give the same values. Keys are searched by bisection.
+
+A document's perplexity is that of its words: the sum over its characters by its number of words, so
+that marks between words, which are cheap one by one, count with the words they make dearer or
+cheaper. Its language's band goes from LOWER robust deviations below the median to UPPER above it.
+Chance moves a mean of n words by 1 / sqrt(n), so deviations are measured times sqrt(n), in each
+language and class of length.
 """
 
 from __future__ import annotations
@@ -26,15 +29,15 @@ from heliograph.llm import textvec
 from heliograph.llm.common import text_of
 from heliograph.runtime import saved, ship_code
 
-ORDER = 4
-SLOT_BITS = 24
-CHAR_BITS = 21  # any code point; a context of ORDER - 1 characters fits a long
+ORDER = 5
+CHAR_BITS = 21  # any code point
+NEAR = 3  # characters of a context that fit a long; up to as many again are in a second one
 SHARED = 1 << 22  # n-grams, 50 MB
 CHUNK_BYTES = 8 << 20
 START = 3  # the character before a document's first
 MIN_WORDS = 20
 REPEAT_WORDS = 8
-BAND = 3.5
+LOWER, UPPER = 2.5, 4.0  # robust deviations
 FEW = 30  # documents; a deviation measured on fewer gives way to that of the language, then of all documents
 BIN = 0.001  # of log perplexity; bands are no narrower than this, the medians' own precision
 STEP = 0.01  # of the logarithm of a deviation
@@ -49,18 +52,18 @@ class Grams:
     def __init__(self, langs: np.ndarray, codes: list[np.ndarray]):
         self.langs, self.codes = langs.astype(np.int64), codes
 
-    def context(self, order: int, end: int = 0) -> np.ndarray:
-        """The order - 1 characters before the one `end` places before the last."""
-        out = np.zeros(len(self.langs), np.int64)
+    def context(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """The order - 1 characters before the last: the nearest NEAR, and the further ones."""
+        near, far = np.zeros((2, len(self.langs)), np.int64)
         for k in range(1, order):
-            out |= self.codes[end + k] << (CHAR_BITS * (k - 1))
-        return out
+            (near if k <= NEAR else far)[:] |= self.codes[k] << (CHAR_BITS * ((k - 1) % NEAR))
+        return near, far
 
     def keys(self, order: int = ORDER) -> np.ndarray:
-        return hash_longs(self.langs, self.context(order), self.codes[0])
+        return hash_longs(self.langs, *self.context(order), self.codes[0])
 
     def context_keys(self, order: int) -> np.ndarray:
-        return hash_longs(self.langs, self.context(order))
+        return hash_longs(self.langs, *self.context(order))
 
     def at(self, place: np.ndarray) -> Grams:
         return Grams(self.langs[place], [c[place] for c in self.codes])
@@ -137,24 +140,26 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes], np.n
         yield first, end, texts[first:end], data, starts
 
 
-COLUMNS = ["lang", "ctx", "last", "count"]
+CONTEXT = ["lang", "ctx", "far"]
+GRAM = [*CONTEXT, "last"]
+COLUMNS = [*GRAM, "count"]
 
 
 def _summed(held: list[tuple]) -> list[np.ndarray]:
-    """lang, ctx, last and count of the distinct n-grams of [(keys, lang, ctx, last, count)]."""
+    """keys and COLUMNS of the distinct n-grams of several such."""
     joined = [np.concatenate(x) for x in zip(*held)]
     keys, first, place = np.unique(joined[0], return_index=True, return_inverse=True)
-    return [keys, *[x[first] for x in joined[1:4]], np.bincount(place, joined[4], len(keys)).astype(np.int64)]
+    return [keys, *[x[first] for x in joined[1:-1]], np.bincount(place, joined[-1], len(keys)).astype(np.int64)]
 
 
 def _distinct(grams: Grams) -> list[np.ndarray]:
     keys, first, counts = np.unique(grams.keys(), return_index=True, return_counts=True)
     own = grams.at(first)
-    return [keys, own.langs, own.context(ORDER), own.codes[0], counts.astype(np.int64)]
+    return [keys, own.langs, *own.context(ORDER), own.codes[0], counts.astype(np.int64)]
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, ctx, last, count) of every n-gram of order ORDER in all documents."""
+    """COLUMNS of every n-gram of order ORDER in all documents."""
     ship_code(docs.sparkSession)
 
     def record(held):
@@ -177,19 +182,21 @@ def count_grams(docs: DataFrame) -> DataFrame:
             yield record(_summed(held))
 
     rows = numbered(docs).select("code", text_of("text").alias("text"))
-    return rows.mapInArrow(run, "lang long, ctx long, last long, count long").groupBy("lang", "ctx", "last").agg(F.sum("count").alias("count"))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in COLUMNS)).groupBy(*GRAM).agg(F.sum("count").alias("count"))
 
 
-def _short(order: int) -> Column:
-    """The context of the n-gram's last `order` characters."""
-    return F.col("ctx").bitwiseAND(F.lit((1 << (CHAR_BITS * (order - 1))) - 1))
+def _short(order: int) -> tuple[Column, Column]:
+    """The context (near, far) of the n-gram's last `order` characters."""
+    mask = lambda n: F.lit((1 << (CHAR_BITS * max(0, min(NEAR, n)))) - 1)
+    return F.col("ctx").bitwiseAND(mask(order - 1)), F.col("far").bitwiseAND(mask(order - 1 - NEAR))
 
 
 def levels_of(counts: DataFrame, name: str = "kn") -> Iterator[tuple[int, DataFrame, DataFrame]]:
     """(j, n-grams of order j with p, contexts with back) from 1 to ORDER. Lower orders count the distinct characters before."""
     levels = {ORDER: saved(counts, f"{name}-counts")}
     for j in range(ORDER - 1, 0, -1):
-        levels[j] = saved(levels[j + 1].groupBy("lang", _short(j).alias("ctx"), "last").agg(F.count(F.lit(1)).alias("count")), f"{name}-order{j}")
+        near, far = _short(j)
+        levels[j] = saved(levels[j + 1].groupBy("lang", near.alias("ctx"), far.alias("far"), "last").agg(F.count(F.lit(1)).alias("count")), f"{name}-order{j}")
     lower = None
     for j in range(1, ORDER + 1):
         n1, n2, n3, n4 = levels[j].agg(*[F.coalesce(F.count_if(F.col("count") == i), F.lit(0)) for i in (1, 2, 3, 4)]).first()
@@ -197,15 +204,17 @@ def levels_of(counts: DataFrame, name: str = "kn") -> Iterator[tuple[int, DataFr
         cut = [min(max(d, 0.1), i + 0.9) for i, d in enumerate([1 - 2 * y * n2 / max(n1, 1), 2 - 3 * y * n3 / max(n2, 1), 3 - 4 * y * n4 / max(n3, 1)])]
         off = F.when(F.col("count") == 1, cut[0]).when(F.col("count") == 2, cut[1]).otherwise(cut[2])
         rows = levels[j].withColumn("off", F.least(off, F.col("count").cast("double")))
-        sums = rows.groupBy("lang", "ctx").agg(F.sum("count").alias("total"), (F.sum("off") / F.sum("count")).alias("back"), F.count(F.lit(1)).alias("kinds"))
-        joined = rows.join(sums, ["lang", "ctx"])
+        sums = rows.groupBy(*CONTEXT).agg(F.sum("count").alias("total"), (F.sum("off") / F.sum("count")).alias("back"), F.count(F.lit(1)).alias("kinds"))
+        joined = rows.join(sums, CONTEXT)
         if j == 1:
             below = 1.0 / F.greatest(F.col("kinds"), F.lit(256))
         else:
-            joined = joined.withColumn("short", _short(j - 1)).join(lower.select("lang", F.col("ctx").alias("short"), "last", F.col("p").alias("below")), ["lang", "short", "last"])
+            near, far = _short(j - 1)
+            shorter = lower.select("lang", F.col("ctx").alias("near"), F.col("far").alias("further"), "last", F.col("p").alias("below"))
+            joined = joined.withColumns({"near": near, "further": far}).join(shorter, ["lang", "near", "further", "last"])
             below = F.col("below")
         p = (F.col("count") - F.col("off")) / F.col("total") + F.col("back") * below
-        lower = saved(joined.select("lang", "ctx", "last", p.alias("p")), f"{name}-p{j}")
+        lower = saved(joined.select(*GRAM, p.alias("p")), f"{name}-p{j}")
         yield j, lower, sums
 
 
@@ -214,9 +223,9 @@ def kneser_ney(counts: DataFrame, name: str = "kn") -> DataFrame:
     weights of contexts of j characters. The key is the 64-bit hash of the language, context and last character."""
     whole = None
     for j, grams, sums in levels_of(counts, name):
-        part = grams.select(F.lit(j).alias("kind"), F.xxhash64("lang", "ctx", "last").alias("key"), F.log("p").alias("logp"))
+        part = grams.select(F.lit(j).alias("kind"), F.xxhash64(*GRAM).alias("key"), F.log("p").alias("logp"))
         if j > 1:
-            part = part.unionByName(sums.select(F.lit(ORDER + j - 1).alias("kind"), F.xxhash64("lang", "ctx").alias("key"), F.log("back").alias("logp")))
+            part = part.unionByName(sums.select(F.lit(ORDER + j - 1).alias("kind"), F.xxhash64(*CONTEXT).alias("key"), F.log("back").alias("logp")))
         whole = part if whole is None else whole.unionByName(part)
     return whole
 
@@ -237,11 +246,6 @@ def hash_longs(*columns: np.ndarray) -> np.ndarray:
     return h.astype(np.int64)
 
 
-def slot_of(keys: np.ndarray) -> np.ndarray:
-    """The top bits of each key's hash."""
-    return (hash_longs(keys).astype(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.uint32)
-
-
 class Table:
     """Sorted keys and their values."""
 
@@ -299,7 +303,7 @@ def _measure(batch: pa.RecordBatch, table: Table) -> Iterator[pa.RecordBatch]:
         logp, known = table.find(grams.keys())
         if not known.all():
             raise ValueError("an n-gram was not counted")
-        nll = -np.bincount(doc, logp, end - first) / np.maximum(size, 1)
+        nll = -np.bincount(doc, logp, end - first) / np.maximum(counts["n_words"], 1)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").slice(first, end - first), batch.column("lang").slice(first, end - first),
              *[pa.array(counts[k].astype(np.int64)) for k in NAMES], pa.array(size.astype(np.int64)), pa.array(nll)],
@@ -308,7 +312,7 @@ def _measure(batch: pa.RecordBatch, table: Table) -> Iterator[pa.RecordBatch]:
 
 
 def measured(docs: DataFrame, shared: int = SHARED, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """doc_id, lang, the base counts, n_chars and nll (mean negative log probability of a character)."""
+    """doc_id, lang, the base counts, n_chars and nll (mean negative log probability of a word)."""
     spark = docs.sparkSession
     ship_code(spark)
     for _, grams, _ in levels_of(count_grams(docs)):
@@ -316,7 +320,7 @@ def measured(docs: DataFrame, shared: int = SHARED, chunk_bytes: int = CHUNK_BYT
     values = F.log("p").cast("float").alias("logp")
     rows = numbered(docs).select("doc_id", "lang", "code", text_of("text").alias("text"))
     if grams.count() <= shared:
-        found = grams.select(F.xxhash64("lang", "ctx", "last").alias("key"), values).toArrow()
+        found = grams.select(F.xxhash64(*GRAM).alias("key"), values).toArrow()
         whole = Table(found["key"].to_numpy(), found["logp"].to_numpy())
         sent = spark.sparkContext.broadcast((whole.keys, whole.values))
 
@@ -337,15 +341,15 @@ def measured(docs: DataFrame, shared: int = SHARED, chunk_bytes: int = CHUNK_BYT
             langs = batch.column("code").to_numpy()
             held += [_distinct(gram_keys(texts, langs[first:end])[0]) for first, end, texts, _, _ in _blocks(batch)]
         summed = _summed(held)
-        return pa.table([pa.array(np.full(len(summed[0]), table["chunk"][0].as_py(), np.int64)), *[pa.array(x) for x in summed[1:4]]], names=["chunk", *COLUMNS[:3]])
+        return pa.table([pa.array(np.full(len(summed[0]), table["chunk"][0].as_py(), np.int64)), *[pa.array(x) for x in summed[1:-1]]], names=["chunk", *GRAM])
 
     def score(key, left: pa.Table, right: pa.Table) -> pa.Table:
         table = Table(right["key"].to_numpy(), right["logp"].to_numpy())
         out = [part for batch in left.combine_chunks().to_batches() for part in _measure(batch, table)]
         return pa.Table.from_batches(out)
 
-    needs = dealt.groupBy("chunk").applyInArrow(used, "chunk long, lang long, ctx long, last long")
-    own = needs.join(grams, ["lang", "ctx", "last"]).select("chunk", F.xxhash64("lang", "ctx", "last").alias("key"), values)
+    needs = dealt.groupBy("chunk").applyInArrow(used, ", ".join(f"{c} long" for c in ["chunk", *GRAM]))
+    own = needs.join(grams, GRAM).select("chunk", F.xxhash64(*GRAM).alias("key"), values)
     return dealt.groupBy("chunk").cogroup(own.groupBy("chunk")).applyInArrow(score, MEASURED)
 
 
@@ -354,31 +358,31 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def length_class(n_chars: Column) -> Column:
-    return F.floor(F.log2(F.greatest(n_chars, F.lit(1)))).cast("int")
+def length_class(n_words: Column) -> Column:
+    return F.floor(F.log2(F.greatest(n_words, F.lit(1)))).cast("int")
 
 
 def bands(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The median of nll by language, and the robust deviation of (nll - median) * sqrt(n_chars): by language
+    """The median of nll by language, and the robust deviation of (nll - median) * sqrt(n_words): by language
     and class of length (_lang, _length, near), by language (_lang, middle, own) and of all (every).
 
     Documents that fail the base rules don't count, copies count once. Medians are of bins (BIN, STEP), so
     that reruns agree and an aggregate holds some thousand values. Those of fewer than FEW are null but in `every`.
     """
     nll = F.round("nll", 6)
-    one = rows.where((F.col("n_chars") > 0) & ~base_failed()).select(F.col("lang").alias("_lang"), "n_chars", nll.alias("nll")).distinct()
+    one = rows.where(~base_failed()).select(F.col("lang").alias("_lang"), "n_words", "n_chars", nll.alias("nll")).distinct()
     centre = one.groupBy("_lang").agg(((F.median(F.floor(F.col("nll") / BIN)) + 0.5) * BIN).alias("middle"))
-    away = F.greatest(F.abs(F.col("nll") - F.col("middle")), F.lit(BIN / 2)) * F.sqrt("n_chars")
+    away = F.greatest(F.abs(F.col("nll") - F.col("middle")), F.lit(BIN / 2)) * F.sqrt("n_words")
     seen = one.join(centre.withColumnRenamed("_lang", "_l"), F.col("_lang").eqNullSafe(F.col("_l")))
-    steps = seen.select("_lang", length_class(F.col("n_chars")).alias("_length"), "middle", F.floor(F.log(away) / STEP).alias("step"))
+    steps = seen.select("_lang", length_class(F.col("n_words")).alias("_length"), "middle", F.floor(F.log(away) / STEP).alias("step"))
     middle = F.exp((F.median("step") + 0.5) * STEP) * 1.4826
     enough = F.when(F.count(F.lit(1)) >= FEW, middle)
     return (steps.groupBy("_lang", "_length").agg(enough.alias("near")),
             steps.groupBy("_lang", "middle").agg(enough.alias("own")), steps.agg(middle.alias("every")))
 
 
-def rules(docs: DataFrame, band: float = BAND) -> DataFrame:
-    """One row per document: doc_id, the counts, perplexity, its band, base_failed and kept.
+def rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
+    """One row per document: doc_id, the counts, perplexity (of a word), its band, base_failed and kept.
 
     Null text has no words and fails the base rules; a null language has a model and band of its
     own. Repeated rows count like any others in the model. An empty table gives an empty result.
@@ -387,12 +391,12 @@ def rules(docs: DataFrame, band: float = BAND) -> DataFrame:
     lengths, languages, every = (saved(x, "rules-bands") for x in bands(rows))
     same = F.col("lang").eqNullSafe(F.col("_lang"))
     joined = rows.join(languages, same, "left").drop("_lang")
-    joined = joined.join(lengths, same & (length_class(F.col("n_chars")) == F.col("_length")), "left").crossJoin(F.broadcast(every))
-    spread = F.coalesce("near", "own", "every") * band / F.sqrt(F.greatest(F.col("n_chars"), F.lit(1)))
-    wide = F.when(F.col("middle").isNotNull(), F.greatest(spread, F.lit(BIN)))
-    inside = F.abs(F.col("nll") - F.col("middle")) <= wide
+    joined = joined.join(lengths, same & (length_class(F.col("n_words")) == F.col("_length")), "left").crossJoin(F.broadcast(every))
+    spread = F.greatest(F.coalesce("near", "own", "every") / F.sqrt(F.greatest(F.col("n_words"), F.lit(1))), F.lit(BIN))
+    low, high = F.col("middle") - lower * spread, F.col("middle") + upper * spread
+    inside = (F.col("nll") >= low) & (F.col("nll") <= high)
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"),
         (~base_failed() & F.coalesce(inside, F.lit(False))).alias("kept"), F.exp("nll").alias("perplexity"),
-        F.exp(F.col("middle") - wide).alias("lower_bound"), F.exp(F.col("middle") + wide).alias("upper_bound"),
+        F.exp(low).alias("lower_bound"), F.exp(high).alias("upper_bound"),
     )

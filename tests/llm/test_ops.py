@@ -442,12 +442,21 @@ def test_kneser_ney_sums_to_one_and_backs_off(spark):
         assert abs(table[perplexity.ORDER, int(key)] - value) < 1e-4
 
 
-def test_slots_are_sparks_hash(spark):
+def test_keys_are_sparks_hash(spark):
     from pyspark.sql import functions as F
 
     keys = np.asarray([0, 1, 17, 1 << 40, (1 << 62) + 12345], np.int64)
-    got = [r[0] for r in spark.createDataFrame([(int(k),) for k in keys], "k long").select(F.shiftrightunsigned(F.xxhash64("k"), 64 - perplexity.SLOT_BITS)).collect()]
-    assert got == perplexity.slot_of(keys).tolist()
+    got = [r[0] for r in spark.createDataFrame([(int(k), int(k) // 3) for k in keys], "k long, l long").select(F.xxhash64("k", "l")).collect()]
+    assert got == perplexity.hash_longs(keys, keys // 3).tolist()
+
+
+def test_labelled_junk_is_rejected_and_clean_documents_stay(spark):
+    """On the labelled documents of sf0.01 that pass the base rules."""
+    d = "/root/testdata/sf0.01"
+    rows = perplexity.rules(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id")
+    found = {(r.quality, r.kept): r.n for r in rows.where("not base_failed").groupBy("quality", "kept").count().withColumnRenamed("count", "n").collect()}
+    good, bad = (found.get((q, True), 0) + found.get((q, False), 0) for q in (1, 0))
+    assert found.get((0, False), 0) >= 0.55 * bad and found.get((1, False), 0) <= 0.03 * good, found
 
 
 def test_rules_edge_cases(spark):
@@ -478,7 +487,7 @@ def test_wide_scripts_and_languages_stay_apart(spark):
     for k, t in enumerate(texts):
         lang = 0 if k < 10 else 1 if k < 13 else 2
         for e in range(len(t or "")):
-            want[lang, ("\x03" * 3 + t)[e : e + 4]] += 1
+            want[lang, ("\x03" * (perplexity.ORDER - 1) + t)[e : e + perplexity.ORDER]] += 1
     assert sorted(r["count"] for r in grams) == sorted(want.values())
     sent = {r.doc_id: r.nll for r in perplexity.measured(docs).collect()}
     joined = {r.doc_id: r.nll for r in perplexity.measured(docs, shared=0, chunk_bytes=2000).collect()}
