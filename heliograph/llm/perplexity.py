@@ -37,7 +37,7 @@ CHUNK_BYTES = 8 << 20
 START = 3  # the character before a document's first
 MIN_WORDS = 20
 REPEAT_WORDS = 8
-LOWER, UPPER = 2.5, 4.0  # robust deviations
+LOWER, UPPER = 3.0, 4.0  # robust deviations
 FEW = 30  # documents; a deviation measured on fewer gives way to that of the language, then of all documents
 BIN = 0.001  # of log perplexity; bands are no narrower than this, the medians' own precision
 STEP = 0.01  # of the logarithm of a deviation
@@ -145,17 +145,26 @@ GRAM = [*CONTEXT, "last"]
 COLUMNS = [*GRAM, "count"]
 
 
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, begin): the order that sorts the keys, and where equal ones begin in it."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    return order, np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), ranked[1:] != ranked[:-1])))
+
+
 def _summed(held: list[tuple]) -> list[np.ndarray]:
     """keys and COLUMNS of the distinct n-grams of several such."""
     joined = [np.concatenate(x) for x in zip(*held)]
-    keys, first, place = np.unique(joined[0], return_index=True, return_inverse=True)
-    return [keys, *[x[first] for x in joined[1:-1]], np.bincount(place, joined[-1], len(keys)).astype(np.int64)]
+    order, begin = _sorted(joined[0])
+    first = order[begin]
+    return [*[x[first] for x in joined[:-1]], np.add.reduceat(joined[-1][order], begin) if len(begin) else joined[-1]]
 
 
 def _distinct(grams: Grams) -> list[np.ndarray]:
-    keys, first, counts = np.unique(grams.keys(), return_index=True, return_counts=True)
-    own = grams.at(first)
-    return [keys, own.langs, *own.context(ORDER), own.codes[0], counts.astype(np.int64)]
+    keys = grams.keys()
+    order, begin = _sorted(keys)
+    own = grams.at(order[begin])
+    return [keys[order[begin]], own.langs, *own.context(ORDER), own.codes[0], np.diff(np.append(begin, len(keys)))]
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
@@ -254,11 +263,15 @@ class Table:
         self.keys, self.values = keys[order], values[order]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(value, whether stored) of each key."""
-        if not len(self.keys):
+        """(value, whether stored) of each key. Distinct keys are searched in ascending order, near each other in memory."""
+        if not len(self.keys) or not len(keys):
             return np.zeros(len(keys), np.float32), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.values[at], self.keys[at] == keys
+        order, begin = _sorted(keys)
+        own = keys[order[begin]]
+        at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+        found, place = self.keys[at] == own, np.empty(len(keys), np.int64)
+        place[order] = np.repeat(np.arange(len(own)), np.diff(np.append(begin, len(keys))))
+        return self.values[at][place], found[place]
 
 
 class Model:
