@@ -7,6 +7,9 @@ one narrow projection over the pages: no shuffle, only the url column is read.
 
 from __future__ import annotations
 
+import csv
+from pathlib import Path
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
@@ -27,35 +30,25 @@ MAX_LABELLED = 10_000
 MAX_RULES = 500
 BUCKETS = 1 << 14
 
-#: The hosts of the small labelled URL table. Unwanted ones name what they sell.
-UNWANTED_HOSTS = (
-    "ads-track.net adult-x.com ad-track.io adult-video.net adult-chat.org bets-online.com best-casino.org "
-    "casino-win.com casino-royal.net cheap-pills.com cheap-meds.net cheap-viagra.org click-track.com "
-    "free-bets.com free-casino.io free-pills.net hot-adult.com link-farm.net live-bets.org lucky-casino.com "
-    "adult-x.net ads-track.com spam-farm.net free-bets.org cheap-pills.net casino-win.org adult-site.com spam-mail.net "
-    "online-pills.com pills-shop.org poker-bets.net porn-x.net spam-farm.com spam-links.org spam-track.net "
-    "slots-win.io track-ads.com win-bets.com win-casino.net x-porn.com xxx-adult.org"
-).split()
-WANTED_HOSTS = (
-    "archive.org bbc.co.uk blog.garden.net books.example.com city.gov.uk daily-news.com dictionary.com docs.python.org "
-    "en.wikipedia.org farmers.org fr.wikipedia.org github.com history.edu journal.net kitchen.com lemonde.fr library.edu "
-    "m.weather.com maps.com medicine.edu museum.org nature.com news.site.org nytimes.com open-data.org physics.edu "
-    "recipes.net reuters.com river-walk.com school.edu science.org shop.books.com spiegel.de sports.net theatre.net "
-    "thread.org the-garden.net tion.org track-and-field.org travel.com tutorials.net university.edu who.int "
-    "www.elpais.es www.example.com www.example.net www.example.org www.gutenberg.org"
-).split()
+#: The small labelled table: hosts of general kinds, compiled without reference to any table of pages. label 1: unwanted.
+LABELLED_HOSTS = Path(__file__).with_name("labelled_hosts.csv")
 PREFIXES = ["", "www.", "m.", "blog."]
 PATHS = ["/", "/en/12", "/fr/845.html", "/de/3?page=2&ref=x", "/es/77/", "/news/today", "/about"]
 
 
-def labelled_urls() -> list[tuple[str, int]]:
-    """The labelled table: every listed host under rotating prefixes and paths; label 1 is unwanted."""
+def labelled_hosts() -> list[tuple[str, int, str]]:
+    """(host, label, kind) of the labelled table."""
+    with LABELLED_HOSTS.open(newline="") as f:
+        return [(r["host"], int(r["label"]), r["kind"]) for r in csv.DictReader(f)]
+
+
+def labelled_urls(hosts: list[tuple[str, int, str]] | None = None) -> list[tuple[str, int]]:
+    """Every labelled host under rotating prefixes and paths; label 1 is unwanted."""
     rows = []
-    for label, hosts in ((1, UNWANTED_HOSTS), (0, WANTED_HOSTS)):
-        for i, host in enumerate(hosts):
-            for j, prefix in enumerate(PREFIXES):
-                name = host if prefix and host.startswith(prefix) else prefix + host
-                rows.append((f"http://{name}{PATHS[(i + j) % len(PATHS)]}", label))
+    for i, (host, label, _) in enumerate(labelled_hosts() if hosts is None else hosts):
+        for j, prefix in enumerate(PREFIXES):
+            name = host if prefix and host.startswith(prefix) else prefix + host
+            rows.append((f"http://{name}{PATHS[(i + j) % len(PATHS)]}", label))
     return rows
 
 
@@ -114,11 +107,12 @@ def train(spark: SparkSession, rows: list[tuple[str, int]] | None = None, max_ro
     if len(rows) > max_rows:
         raise ValueError(f"{len(rows)} labelled rows; the bound is {max_rows}")
     quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    values = ", ".join(f"({quote(url)}, {float(label)})" for url, label in rows)
-    data = spark.sql(f"SELECT url, CAST(label AS DOUBLE) AS label FROM VALUES {values} AS t(url, label)").coalesce(1)
+    share = {label: len(rows) / (2 * sum(own == label for _, own in rows)) for label in {label for _, label in rows}}  # both labels weigh the same
+    values = ", ".join(f"({quote(url)}, {float(label)}D, {share[label]!r}D)" for url, label in rows)
+    data = spark.sql(f"SELECT url, label, weight FROM VALUES {values} AS t(url, label, weight)").coalesce(1)
     hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=BUCKETS, binary=True)
     learner = LogisticRegression(
-        featuresCol="_features", labelCol="label", rawPredictionCol="_raw", probabilityCol="_probability",
+        featuresCol="_features", labelCol="label", weightCol="weight", rawPredictionCol="_raw", probabilityCol="_probability",
         predictionCol="_prediction", maxIter=100, regParam=0.001, standardization=False,
     )
     fitted = learner.fit(hashing.transform(with_grams(_split(data))))

@@ -67,6 +67,21 @@ def test_url_model_scores_like_its_formula_and_separates(spark, url_model):
     assert grams[: len(host) - 2] == ["h3" + host[i : i + 3] for i in range(len(host) - 2)]
 
 
+def test_url_model_on_hosts_it_has_not_seen(spark):
+    """Five folds by host: the held-out hosts and their URLs are in no training row."""
+    hosts = sorted(url_filter.labelled_hosts())
+    np.random.default_rng(1).shuffle(hosts)
+    right = {0: 0, 1: 0}
+    for fold in range(5):
+        model = url_filter.train(spark, url_filter.labelled_urls([(h, int(x), k) for i, (h, x, k) in enumerate(hosts) if i % 5 != fold]))
+        pages = spark.createDataFrame([(i, f"http://{h}/news/1") for i, (h, _, _) in enumerate(hosts) if i % 5 == fold], "page_id long, url string")
+        for r in url_filter.judge(pages, rules=[], model=model).collect():
+            label = int(hosts[r.page_id][1])
+            right[label] += (r.score >= 0.5) == (label == 1)
+    count = {x: sum(int(h[1]) == x for h in hosts) for x in (0, 1)}
+    assert right[1] > 0.4 * count[1] and right[0] > 0.8 * count[0], (right, count)
+
+
 def test_url_bounds_and_empty(spark, url_model):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string"), model=url_model).count() == 0
     with pytest.raises(ValueError):
