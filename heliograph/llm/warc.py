@@ -20,11 +20,14 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _record_id(page_id: Column) -> Column:
-    """A urn:uuid that depends on page_id alone; null has its own."""
-    h = F.md5(F.concat(F.lit("page:"), F.coalesce(page_id.cast("string"), F.lit("null"))))
-    parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
+def _record_id(page_id: Column, sha256: Column) -> Column:
+    """A urn of the page and its payload: rows that repeat a page_id with other bytes are other records."""
+    return F.concat(F.lit("<urn:x-page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(":"), F.substring(sha256, 1, 16), F.lit(">"))
+
+
+def _page_of(record_id: Column) -> Column:
+    """The page_id in a record id, null if it names none."""
+    return F.nullif(F.regexp_extract(record_id, r"^<urn:x-page:(-?\d+):", 1), F.lit("")).cast("long")
 
 
 def _clean(url: Column) -> Column:
@@ -57,15 +60,13 @@ def records(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", _record_id(F.col("page_id"))),
+        line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("sha256"))),
         line("WARC-Date", F.lit(DATE)),
         F.coalesce(line("WARC-Target-URI", _clean(F.col("url"))), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, F.concat(
-            line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", _record_id(F.col("response_id"))),
-            line("X-Refers-To-Page", F.col("response_id").cast("string")),
+            line("WARC-Profile", F.lit(PROFILE)), line("WARC-Refers-To", _record_id(F.col("response_id"), F.col("sha256"))),
         )).otherwise(""),
-        F.coalesce(line("X-Page", F.col("page_id").cast("string")), F.lit("")),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", block_size.cast("string")),
         F.lit("\r\n"),
@@ -109,16 +110,30 @@ def export_warc(heads: DataFrame, payloads: DataFrame, path: str) -> None:
 
 
 def report(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
-    """Writes the archive, reads it back, and reports each record from its own bytes."""
-    heads, payloads = write_archive(pages, revisit_from)
-    back = reconstruct(heads, payloads)
-    head = F.split(F.col("header").cast("string"), "\r\n\r\n", 2)[0]
-    value = lambda name: F.nullif(F.regexp_extract(head, rf"(?:^|\r\n){name}: ([^\r\n]*)", 1), F.lit(""))
-    return back.select(
-        value("X-Page").cast("long").alias("page_id"),
+    """Writes the archive, reads it back, and reports each record by parsing the reconstructed bytes.
+
+    A response's payload is what follows the HTTP head in its record; a revisit's is that of the
+    stored payload it is joined to. Stops with an error where the digest in the head isn't that of
+    the payload, or Content-Length not that of the block.
+    """
+    back = reconstruct(*write_archive(pages, revisit_from))
+    end = "\r\n\r\n"
+    parts = F.split(F.col("record").cast("string"), end, 3)  # head, HTTP head, payload and the blank lines behind it
+    rows = back.select("payload", parts[0].alias("head"), F.octet_length(parts[1]).alias("http"), parts[2].cast("binary").alias("rest"))
+    value = lambda name: F.nullif(F.regexp_extract("head", rf"(?:^|\r\n){name}: ([^\r\n]*)", 1), F.lit(""))
+    is_revisit = value("WARC-Type") == "revisit"
+    own = F.expr(f"substring(rest, 1, octet_length(rest) - {len(end)})")
+    rows = rows.select(
+        value("WARC-Record-ID").alias("id"), value("WARC-Refers-To").alias("refers"), value("WARC-Type").alias("record_type"),
+        value("WARC-Payload-Digest").alias("digest"), value("Content-Length").cast("long").alias("length"),
+        (F.col("http") + len(end) + F.octet_length("rest") - len(end)).alias("block"), F.when(is_revisit, F.col("payload")).otherwise(own).alias("payload"),
+    )
+    sha1 = F.sha1("payload")
+    sound = (F.concat(F.lit("sha1:"), sha1) == F.col("digest")) & (F.col("length") == F.col("block"))
+    return rows.select(
+        _page_of(F.col("id")).alias("page_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
-        F.when(F.concat(F.lit("sha1:"), F.sha1("payload")) == value("WARC-Payload-Digest"), F.sha1("payload"))
-        .otherwise(F.raise_error(F.lit("header and payload disagree"))).alias("payload_digest"),
-        value("WARC-Type").alias("record_type"),
-        value("X-Refers-To-Page").cast("long").alias("refers_to"),
+        F.when(sound, sha1).otherwise(F.raise_error(F.lit("header and payload disagree"))).alias("payload_digest"),
+        "record_type",
+        _page_of(F.col("refers")).alias("refers_to"),
     )
