@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from heliograph.llm import chat_format, curriculum, exact_dedup, jaccard_join, packing, perplexity, quality_crf, token_store, url_filter, warc
 from heliograph.llm.common import table
 
@@ -35,7 +37,8 @@ def op5_warc_archive(spark, sf_dir):
 
 
 def op6_curriculum_mix(spark, sf_dir):
-    return curriculum.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    rows = curriculum.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round("position", 9).alias("position"))
 
 
 def op7_perplexity_rules(spark, sf_dir):
@@ -91,22 +94,30 @@ SQL = {
     "op6_curriculum_mix": r"""
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
              s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
-             r AS (SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+             n AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS slot FROM s),
+             r AS (SELECT *, [3, 1, 2][slot + 1] AS weight FROM n),
              o AS (SELECT *, row_number() OVER (ORDER BY source_size * 2 / weight, source NULLS LAST) AS k,
                           sum(source_size) OVER () AS total FROM r),
              l AS (SELECT *, total * 3 / 2 - coalesce(sum(source_size * 2) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
                           sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left FROM o),
              f AS (SELECT *, rest * weight >= source_size * 2 * weight_left AS capped FROM l),
              v AS (SELECT arg_min(rest, k) AS rest, arg_min(weight_left, k) AS weight_left FROM f WHERE NOT capped),
-             t AS (SELECT f.source, f.source_size,
+             t AS (SELECT f.source, f.source_size, f.slot,
                           CASE WHEN capped THEN (source_size * 2)::DOUBLE ELSE v.rest * f.weight / v.weight_left END::DOUBLE AS target
                    FROM f LEFT JOIN v ON true),
-             c AS (SELECT doc_id, size, t.source_size, t.target, floor(t.target)::BIGINT AS goal,
+             c AS (SELECT doc_id, size, t.source_size, t.target, t.slot, floor(t.target)::BIGINT AS goal,
                           coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(doc_id::VARCHAR), doc_id
                                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-                   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-        SELECT doc_id, size, source_size, target,
-               (greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - start - source_size)))::BIGINT AS taken FROM c""",
+                   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+             k AS (SELECT *, (greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - start - source_size)))::BIGINT AS taken,
+                          (size > 0 AND 2 * (goal - start) >= size)::INT + (size > 0 AND 2 * (goal - start - source_size) >= size)::INT AS copies,
+                          CASE WHEN target > 0 THEN start / target END AS share FROM c)
+        SELECT doc_id, size, source_size, target, taken, copies, round(CASE WHEN taken > 0 THEN least(1, greatest(0, CASE slot
+                   -- rates of 1.5, 1 and 0.5 over thirds of the time; 1 throughout; 0.5, 1 and 1.5
+                   WHEN 0 THEN CASE WHEN share <= 1 / 2 THEN share / 1.5 WHEN share <= 5 / 6 THEN 1 / 3 + (share - 1 / 2) ELSE 2 / 3 + (share - 5 / 6) / 0.5 END
+                   WHEN 1 THEN share
+                   ELSE CASE WHEN share <= 1 / 6 THEN share / 0.5 WHEN share <= 1 / 2 THEN 1 / 3 + (share - 1 / 6) ELSE 2 / 3 + (share - 1 / 2) / 1.5 END
+               END)) END, 9) AS position FROM k""",
     "op10_chat_format": rf"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL VALUES (-1, 0, 'user', '{chat_format.PROBE}'), (-1, 1, 'assistant', '{chat_format.PROBE}')),
