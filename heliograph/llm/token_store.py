@@ -8,8 +8,9 @@ A file is a run of frames in ascending doc_id order. A frame:
     blobs: each document's ids (u2 below 65,536 ids, else u4), compressed alone.
 
 So one document is read with the frame's head, its index entry and its blob. The dictionary is
-trained on the ids of SAMPLE_DOCS documents with the smallest hashes of doc_id (all if fewer), at
-most SAMPLE_BYTES of ids each, and is written beside the files. Spark's writers and readers move the files, so any
+trained on the ids of SAMPLE_DOCS documents with the smallest hashes of doc_id (all if fewer), of
+longer ones on SAMPLE_BLOCKS blocks at hashed places over the whole of them, and is written beside
+the files. Where that is too little to train on, the sampled ids themselves are the dictionary. Spark's writers and readers move the files, so any
 file system that Spark reaches will do, and task commits survive lost executors: a frame is a row of
 the text writer, whose line end is the frame's last byte.
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,8 @@ from heliograph.runtime import fresh_path, saved, ship_code
 
 END_ID = 0
 SAMPLE_DOCS = 1000
-SAMPLE_BYTES = 1 << 14
+SAMPLE_BLOCKS = 4  # of a document longer than all of them together
+BLOCK_BYTES = 1 << 12
 DICTIONARY_BYTES = 1 << 16
 FRAME_BYTES = 1 << 22
 FILE_BYTES = 1 << 25
@@ -44,21 +47,28 @@ def dictionary_hash(dictionary: bytes) -> bytes:
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
-    """A zstandard dictionary; empty where there is too little to learn from."""
+    """A zstandard dictionary; of too few or too uniform samples, the last of the samples themselves (raw content)."""
     import zstandard
 
-    if sum(map(len, samples)) < 1 << 14 or len(samples) < 16:
-        return b""
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
-        return b""
+        return b"".join(samples)[-DICTIONARY_BYTES:] or bytes(8)
 
 
 def _zstd(dictionary: bytes):
     import zstandard
 
-    return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+    return zstandard.ZstdCompressionDict(dictionary)
+
+
+def sample_blocks(ids: bytes, width: int, seed: int) -> list[bytes]:
+    """All ids, or SAMPLE_BLOCKS blocks of BLOCK_BYTES, one at a hashed place in each equal part of them."""
+    if len(ids) <= SAMPLE_BLOCKS * BLOCK_BYTES:
+        return [ids]
+    part = len(ids) // SAMPLE_BLOCKS
+    starts = [k * part + zlib.crc32(b"%d %d" % (seed, k)) % (part - BLOCK_BYTES + 1) for k in range(SAMPLE_BLOCKS)]
+    return [ids[a - a % width :][:BLOCK_BYTES] for a in starts]
 
 
 def frame(documents: list[tuple], dictionary: bytes) -> bytes:
@@ -94,10 +104,9 @@ def decode(blob: bytes, decompressor, wide: bool) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, tokenizer_path: str, end_id: int, wide: bool) -> list[bytes]:
-    """Serialised ids of the sampled documents: SAMPLE_DOCS at most, SAMPLE_BYTES of each."""
+    """Serialised ids of the sampled documents: SAMPLE_DOCS at most, SAMPLE_BLOCKS blocks of each."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).distinct()
     texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", text_of("text").alias("text"))
-    schema = "doc_id long, ids binary"
 
     def run(batches):
         from heliograph.llm.token_ids import encoder
@@ -105,12 +114,12 @@ def _sample(docs: DataFrame, tokenizer_path: str, end_id: int, wide: bool) -> li
         encode = encoder(tokenizer_path).many
         for batch in batches:
             out = []
-            for ids in encode(batch.column(1).to_pylist()):
-                ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
-                out.append(ids.astype("<u4" if wide else "<u2").tobytes()[:SAMPLE_BYTES])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "ids"])
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+                ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype("<u4" if wide else "<u2")
+                out += [(doc_id, k, block) for k, block in enumerate(sample_blocks(ids.tobytes(), ids.itemsize, doc_id))]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(list(zip(*out)) or [()] * 3, (pa.int64(), pa.int32(), pa.binary()))], names=["doc_id", "place", "ids"])
 
-    found = texts.mapInArrow(run, schema).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    found = texts.mapInArrow(run, "doc_id long, place int, ids binary").orderBy(F.xxhash64("doc_id"), "doc_id", "place", "ids").limit(SAMPLE_BLOCKS * SAMPLE_DOCS)
     return [bytes(r.ids) for r in found.collect()]
 
 
@@ -165,8 +174,6 @@ def read(spark: SparkSession, path: str, vocabulary: int = 50_257) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{path}/files").select("path", "content")
 
     def run(batches):
-        import zlib
-
         import zstandard
 
         for batch in batches:
@@ -185,22 +192,60 @@ def read(spark: SparkSession, path: str, vocabulary: int = 50_257) -> DataFrame:
 
     schema = "file string, at long, frame_tokens long, doc_id long, first long, n_tokens long, ids_crc32 long"
     rows = saved(files.mapInArrow(run, schema), "token-rows")
+    # Two levels: the frames of a file, then the files.
     heads = rows.groupBy("file", "at").agg(F.max("frame_tokens").alias("tokens"), F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("least"))
-    order = Window.orderBy("least", "file", "at").rowsBetween(Window.unboundedPreceding, -1)
-    before = heads.select("file", "at", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("before"))
-    return rows.join(before, ["file", "at"]).select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+    inside = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    frames = heads.select("file", "at", F.coalesce(F.sum("tokens").over(inside), F.lit(0)).alias("inside"))
+    order = Window.orderBy("least", "file").rowsBetween(Window.unboundedPreceding, -1)
+    whole = heads.groupBy("file").agg(F.sum("tokens").alias("tokens"), F.min("least").alias("least"))
+    before = whole.select("file", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("before"))
+    places = frames.join(before, "file").select("file", "at", (F.col("before") + F.col("inside")).alias("before"))
+    return rows.join(places, ["file", "at"]).select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def locations(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, file, position and length of every document's blob, from the frames' indexes; built once, beside the files."""
+    folder = f"{path}/locations"
+    if not _exists(spark, f"{folder}/_SUCCESS"):
+        ship_code(spark)
+        dictionary, head_size = read_dictionary(spark, path), HEAD.size
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{path}/files").select("path", "content")
+
+        def run(batches):
+            for batch in batches:
+                for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    for at, _, index, _ in read_frames(content.as_py(), dictionary):
+                        named = index[index["has_id"] == 1]
+                        position = at + head_size + index.nbytes + named["at"].astype(np.int64)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(named["doc_id"].astype(np.int64)), pa.array([name] * len(named), pa.string()), pa.array(position), pa.array(named["length"].astype(np.int32))],
+                            names=["doc_id", "file", "position", "length"])
+
+        files.mapInArrow(run, "doc_id long, file string, position long, length int").write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int], vocabulary: int = 50_257) -> dict[int, list[int]]:
-    """Ids of a few documents: only their own blobs are decompressed."""
+    """Ids of a few documents: their blobs' places are looked up, and only these bytes of the files are read."""
     import zstandard
 
     dictionary, found = read_dictionary(spark, path), {}
     reader = zstandard.ZstdDecompressor(dict_data=_zstd(dictionary))
-    for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{path}/files").select("content").toLocalIterator():
-        for _, _, index, blobs in read_frames(bytes(row.content), dictionary):
-            for e in index[np.isin(index["doc_id"], doc_ids) & (index["has_id"] == 1)]:
-                found[int(e["doc_id"])] = decode(blobs[int(e["at"]) : int(e["at"]) + int(e["length"])], reader, vocabulary > 1 << 16).tolist()
+    jvm = spark._jvm
+    for row in locations(spark, path).where(F.col("doc_id").isin(doc_ids)).collect():
+        target = jvm.org.apache.hadoop.fs.Path(row.file)
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+        try:
+            stream.seek(row.position)
+            blob = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, row.length))
+        finally:
+            stream.close()
+        found[row.doc_id] = decode(blob, reader, vocabulary > 1 << 16).tolist()
     return found
 
 

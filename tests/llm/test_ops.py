@@ -720,6 +720,24 @@ def test_dictionary_is_checked():
         next(token_store.read_frames(blob, b"other"))
 
 
+def test_there_is_always_a_dictionary():
+    import zstandard
+
+    for samples in ([], [b"ab"], [b"abcdefgh" * 10] * 3, [bytes([i]) * 300 for i in range(20)]):
+        d = token_store._zstd(token_store.train_dictionary(samples))
+        blob = zstandard.ZstdCompressor(dict_data=d).compress(b"abcdefgh" * 9)
+        assert zstandard.ZstdDecompressor(dict_data=d).decompress(blob) == b"abcdefgh" * 9
+
+
+def test_samples_reach_over_whole_documents():
+    ids = np.arange(200_000, dtype="<u4").tobytes()
+    blocks = token_store.sample_blocks(ids, 4, 7)
+    assert [len(b) for b in blocks] == [token_store.BLOCK_BYTES] * token_store.SAMPLE_BLOCKS
+    places = [np.frombuffer(b, "<u4") for b in blocks]
+    assert all((np.diff(p) == 1).all() and k * 50_000 <= p[0] < (k + 1) * 50_000 for k, p in enumerate(places))
+    assert token_store.sample_blocks(b"abcd", 2, 1) == [b"abcd"]
+
+
 def test_dictionary_helps_short_documents(library):
     import zstandard
 
