@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from functools import reduce
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -79,10 +80,13 @@ def bootstrap(cases: DataFrame, source: str, selected: str, baseline: str, sampl
 
 
 def select_one_se(configs: DataFrame) -> DataFrame:
-    """The config with the least storage among those within one standard error of the best nDCG and 0.02 of its recall."""
+    """The config with the least storage, then query time (column query_ms, if there), then the best nDCG, among
+    those within one standard error of the best nDCG and 0.02 of its recall."""
+    if "query_ms" not in configs.columns:
+        configs = configs.withColumn("query_ms", F.lit(0.0))
     best = configs.agg(F.max(F.struct("ndcg", "recall", (-F.col("bytes")).alias("b"), F.col("se").alias("s"))).alias("best"))
     fit = configs.crossJoin(F.broadcast(best)).where((F.col("ndcg") >= F.col("best.ndcg") - F.col("best.s")) & (F.col("recall") >= F.col("best.recall") - 0.02))
-    return fit.agg(F.min(F.struct("bytes", (-F.col("ndcg")).alias("g"), "config")).alias("m")).select("m.config", "m.bytes")
+    return fit.agg(F.min(F.struct("bytes", "query_ms", (-F.col("ndcg")).alias("g"), "config")).alias("m")).select("m.config", "m.bytes")
 
 
 def author_count_band(n: Column) -> Column:
@@ -90,24 +94,41 @@ def author_count_band(n: Column) -> Column:
 
 
 def author_role(position: Column, count: Column) -> Column:
-    return F.when(count == 1, "solo").when(position.isin("first", "last"), position).otherwise("middle")
+    """solo, or the listed position; anything else is unknown."""
+    return F.when(count == 1, "solo").when(position.isin("first", "middle", "last"), position).otherwise("unknown")
 
 
 def age_band(year: Column, reference: Column) -> Column:
-    return F.when(reference - year <= 3, "0-3").when(reference - year <= 8, "4-8").otherwise("9+")
+    """By years before the reference; later ones count as its own."""
+    age = F.greatest(F.lit(0), reference - year)
+    return F.when(age <= 2, "0-3").when(age <= 7, "4-8").otherwise("9+")
+
+
+def work_type(raw: Column, source: Column) -> Column:
+    """preprint, conference, journal, other or unknown, by the work's type and its source's."""
+    kind, place = F.lower(F.coalesce(raw, F.lit(""))), F.lower(F.coalesce(source, F.lit("")))
+    named = F.when((kind == "preprint") | (place == "repository"), "preprint").when(place.isin("conference", "proceedings"), "conference")
+    return named.when((kind == "article") | (place == "journal"), "journal").when((kind == "") & (place == ""), "unknown").otherwise("other")
 
 
 #: The grid of authorship weights.
-WEIGHT_GRID = {"first": (1.0, 1.25, 1.5), "last": (1.0, 1.25, 1.5), "corresponding": (1.0, 1.15, 1.3, 1.5), "solo": (1.0, 1.25, 1.5), "medium": (1.0, 0.85), "large": (1.0, 0.7)}
+WEIGHT_GRID = {
+    "first": (0.75, 1.0, 1.25, 1.5),
+    "last": (0.75, 1.0, 1.25, 1.5),
+    "corresponding": (1.0, 1.25, 1.5, 2.0),
+    "solo": (1.0, 1.25, 1.5),
+    "medium": (0.75, 1.0),
+    "large": (0.5, 0.75, 1.0),
+}
 
 
 def weight_configs(spark: SparkSession) -> DataFrame:
-    """Every combination of the grid, numbered in order; config 0 weighs all alike."""
+    """Equal weights as config 0, then every other combination of the grid, numbered in its order."""
     out = spark.range(1)
     for name, values in WEIGHT_GRID.items():
         out = out.withColumn(name, F.explode(F.array(*[F.lit(float(v)) for v in values])))
-    out = out.drop("id")
-    return out.withColumn("config", F.row_number().over(Window.orderBy(*WEIGHT_GRID)) - 1)
+    differs = reduce(lambda a, b: a | b, [F.col(name) != 1.0 for name in WEIGHT_GRID])
+    return out.drop("id").withColumn("config", F.row_number().over(Window.orderBy(differs, *WEIGHT_GRID)) - 1)
 
 
 def publication_weight(role: Column, corresponding: Column, band: Column, c: dict[str, Column]) -> Column:
@@ -154,22 +175,27 @@ def spherical_kmeans(vectors, k: int, rounds: int = 4):
 
 
 def cluster_people(vectors: DataFrame, group: str, key: str, column: str, most: int = 60) -> DataFrame:
-    """(group, key, cluster) by spherical k-means over each group's first `most` vectors (a profile has no more)."""
+    """(group, key, cluster) of every vector: its group's centre with the greatest dot product, the first of equal ones.
+
+    The centres come from spherical k-means over each group's first `most` vectors, so that no task
+    holds a whole group; all vectors are then compared with at most 12 centres in the JVM.
+    """
     from heliograph.runtime import ship_code
 
     ship_code(vectors.sparkSession)
     first = vectors.withColumn("_n", F.row_number().over(Window.partitionBy(group).orderBy(key))).where(F.col("_n") <= most)
 
-    def run(batches: Iterator):
+    def run(frame):
         import numpy as np
         import pandas as pd
 
-        frame = pd.concat([b for b in batches]) if not isinstance(batches, pd.DataFrame) else batches
-        frame = frame.sort_values(key)
-        matrix = np.stack(frame[column].to_numpy()).astype(float)
-        k = max(2, min(12, round(math.sqrt(len(frame)))))
-        _, assigned = spherical_kmeans(matrix, k)
-        return pd.DataFrame({group: frame[group].to_numpy(), key: frame[key].to_numpy(), "cluster": assigned.astype("int32")})
+        matrix = np.stack(frame.sort_values(key)[column].to_numpy()).astype(float)
+        centres, _ = spherical_kmeans(matrix, max(2, min(12, round(math.sqrt(len(frame))))))
+        return pd.DataFrame({"_group": [frame[group].iloc[0]], "_centres": [[c.tolist() for c in centres]]})
 
     kinds = dict(vectors.dtypes)
-    return first.select(group, key, column).groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {key} {kinds[key]}, cluster int")
+    centres = first.select(group, key, column).groupBy(group).applyInPandas(run, f"_group {kinds[group]}, _centres array<array<double>>")
+    joined = vectors.select(group, key, column).join(centres, F.col(group).eqNullSafe(F.col("_group")))
+    dot = lambda c: F.round(F.aggregate(F.zip_with(c, column, lambda x, y: x * y.cast("double")), F.lit(0.0), lambda a, x: a + x), 12)
+    scores = F.transform("_centres", dot)
+    return joined.select(group, key, (F.array_position(scores, F.array_max(scores)) - 1).cast("int").alias("cluster"))

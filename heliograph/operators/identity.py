@@ -26,6 +26,16 @@ def candidate_pairs(keys: DataFrame) -> DataFrame:
     return a.join(b, ["institution_id", "kind", "value"]).where("left < right").groupBy("left", "right").agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
 
 
+def shared_key_edges(keys: DataFrame) -> DataFrame:
+    """(left, right): every person with the least one that shares a key, so that a key of n people makes n - 1 edges.
+
+    Enough for connected components; `candidate_pairs` is for rules that look at both sides of each pair.
+    """
+    least = keys.groupBy("institution_id", "kind", "value").agg(F.min("person_id").alias("left"))
+    joined = keys.select("institution_id", "kind", "value", F.col("person_id").alias("right")).join(least, ["institution_id", "kind", "value"])
+    return joined.where("left < right").select("left", "right").distinct()
+
+
 def separating_conflict(*families: tuple[Column, Column]) -> Column:
     """Whether two families of values at least are there on both sides and have nothing in common."""
     clash = [F.when((F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b), 1).otherwise(0) for a, b in families]

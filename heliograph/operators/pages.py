@@ -7,6 +7,8 @@ import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +39,25 @@ def visible_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(bare, "<[^>]*>", " "), r"\s+", " "))
 
 
-def is_interstitial(html: Column) -> Column:
-    """Whether a page is a challenge rather than content."""
+#: What marks the block pages that answer 200, and what they are called. All marks of a row have to be there.
+BLOCK_PAGES = [
+    ("incapsula", ["_incapsula_resource", "request unsuccessful"]),
+    ("incapsula", ["_incapsula_resource", "<empty body>"]),
+    ("site_processing", ["requested page is currently unavailable", "site is processing for"]),
+]
+
+
+def interstitial_reason(html: Column) -> Column:
+    """Which block page stands in place of the content, or null."""
     low = F.lower(F.coalesce(html, F.lit("")))
-    return (F.contains(low, F.lit("captcha")) | F.contains(low, F.lit("checking your browser")) | F.contains(low, F.lit("access denied"))) & (F.length(low) < 20_000)
+    marks = F.concat(low, F.when(low.rlike(r"<body[^>]*>\s*</body>"), F.lit("<empty body>")).otherwise(""))
+    found = [F.when(reduce(lambda a, b: a & b, [F.contains(marks, F.lit(m)) for m in held]), F.lit(f"blocked_interstitial:{name}")) for name, held in BLOCK_PAGES]
+    return F.coalesce(*found)
+
+
+def is_interstitial(html: Column) -> Column:
+    """Whether a page is a block page rather than content."""
+    return interstitial_reason(html).isNotNull()
 
 
 def discover_links(pages: DataFrame, include: list[str], limit: int = 25) -> DataFrame:

@@ -116,7 +116,7 @@ def identity_candidates(spark, d):
 
 def duplicate_groups(spark, d):
     p = table(spark, d, "part").select(F.lit(1).alias("institution_id"), F.col("p_partkey").alias("person_id"), F.lit("email").alias("kind"), F.concat_ws("|", "p_brand", "p_type", "p_size").alias("value"))
-    return I.groups(I.candidate_pairs(p))
+    return I.groups(I.shared_key_edges(p))
 
 
 def alias_resolution(spark, d):

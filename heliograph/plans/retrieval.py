@@ -219,8 +219,10 @@ SQL = {
     "dense_topk": """WITH s AS (SELECT a.vec_id AS query_id, b.vec_id, round(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE)), 6) AS score
       FROM embeddings a, embeddings b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
       SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s QUALIFY rank <= 3""",
-    "paper_backtrace": f"""WITH {_WORKS}, {_VECTORS}, s AS ({cosine_sql('qv', 'item_id', 'dv', 'doc_id')}), m AS (SELECT item_id, person_id, score FROM s JOIN works USING (doc_id) WHERE score >= 0.02),
-      g AS (SELECT item_id, person_id, count(*) AS papers, round(least(1.0, max(score) + least(0.15, 0.03 * count(*)) * max(score) + least(0.1, 0.03 * sum(0.9::DOUBLE)) * max(score)), 4) AS score FROM m GROUP BY ALL)
+    "paper_backtrace": f"""WITH {_WORKS}, {_VECTORS}, s AS ({cosine_sql('qv', 'item_id', 'dv', 'doc_id')}), m AS (SELECT item_id, person_id, score::DECIMAL(9,6) AS score FROM s JOIN works USING (doc_id) WHERE score >= 0.02),
+      b AS (SELECT item_id, person_id, count(*) AS papers, max(score) AS best, least(0.15, 0.03 * count(*))::DECIMAL(9,6) AS volume, least(0.1, 0.03 * 0.9 * count(*))::DECIMAL(9,6) AS quality FROM m GROUP BY ALL),
+      g AS (SELECT item_id, person_id, papers, round(least(1::DECIMAL(22,12), best + volume * best + quality * best), 4)::DOUBLE AS score FROM b)
       SELECT item_id, person_id, score, papers, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, person_id) AS rank,
-             CASE WHEN score <= 0 THEN 'do_not_promote' WHEN score >= 0.45 THEN 'prioritize' ELSE 'plausible_with_papers' END AS action FROM g QUALIFY rank <= 10""",
+             CASE WHEN score <= 0 THEN 'Do not promote; no paper, semantic, or profile research-fit evidence.' WHEN score >= 0.45 THEN 'Prioritize for manual research-fit review and possible outreach.'
+                  ELSE 'Keep as plausible research-fit candidate; inspect matched papers manually.' END AS action FROM g QUALIFY rank <= 10""",
 }

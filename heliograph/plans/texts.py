@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from heliograph.functions import predicates as P
 from heliograph.functions import strings as S
 from heliograph.functions import urls as U
+from heliograph.functions import vocabulary
 from heliograph.operators import evaluation as E
 from heliograph.operators import pages as H
+from heliograph.operators import retrieval as R
 from heliograph.plans.base import WORKS_SQL, table, works
 from heliograph.streaming import lifecycle as T
 
@@ -77,28 +79,66 @@ def department_names(spark, d):
     return table(spark, d, "documents").select("doc_id", S.department(F.col("text")).alias("department"))
 
 
+def _lines(spark, d):
+    """(doc_id, title): every line of every text."""
+    return table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("title"))
+
+
+def _meaningful(lines, ok):
+    return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.count_if(ok).alias("meaningful"))
+
+
 def meaningful_titles(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.split("text", "\n", 2)[0].alias("title"))
     none = F.lit(None).cast("string")
     ok = P.is_meaningful_publication(F.col("title"), none, F.when(F.col("doc_id") % 5 == 0, 2020), none, none)
-    return t.select("doc_id", ok.alias("meaningful"))
+    return _meaningful(_lines(spark, d), ok)
 
 
 def meaningful_titles_sql(spark, d):
     P.register(spark)
-    t = table(spark, d, "documents").select("doc_id", F.split("text", "\n", 2)[0].alias("title"))
-    return t.selectExpr("doc_id", "publication_is_meaningful(title, null, if(doc_id % 5 = 0, 2020, null), null, null) AS meaningful")
+    return _meaningful(_lines(spark, d), F.expr("publication_is_meaningful(title, null, if(doc_id % 5 = 0, 2020, null), null, null)"))
 
 
 def name_findings(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.split("text", "[.,\n]", 2)[0].alias("name"))
+    t = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "[.,\n]")).alias("name"))
     n = F.col("name")
-    return t.select("doc_id", P.is_non_person_name(n).alias("non_person"), P.is_title_contaminated(n).alias("contaminated"), F.array_join(P.incomplete_name_reasons(n), ",").alias("incomplete"), P.name_quality(n).alias("quality"))
+    incomplete = F.size(P.incomplete_name_reasons(n)) > 0
+    return t.groupBy("doc_id").agg(F.count(F.lit(1)).alias("names"), F.count_if(P.is_non_person_name(n)).alias("non_person"), F.count_if(P.is_title_contaminated(n)).alias("contaminated"),
+                                   F.count_if(incomplete).alias("incomplete"), F.max(P.name_quality(n)).alias("best_quality"))
 
 
 def title_findings(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.split("text", "\n", 2)[0].alias("title"))
-    return t.select("doc_id", F.array_join(P.suspicious_title_reasons(F.col("title")), ",").alias("reasons"))
+    reasons = P.suspicious_title_reasons(F.col("title"))
+    held = [F.count_if(F.array_contains(reasons, r)).alias(r) for r in ("overlong", "biography_like", "multi_sentence")]
+    return _lines(spark, d).groupBy("doc_id").agg(*held, F.sum(P.title_quality(F.col("title"))).alias("quality"))
+
+
+def people_in_directory(spark, d):
+    """The suppliers as people in one directory page per nation, and what extraction finds there."""
+    letters = lambda c: F.initcap(F.translate(c.cast("string"), "0123456789", "abcdefghij"))
+    s = table(spark, d, "supplier").select("s_nationkey", F.concat(F.lit("Ann Mo"), F.lower(letters(F.col("s_suppkey")))).alias("name"), F.col("s_suppkey").alias("k"))
+    row = F.concat(F.lit("<tr><td>"), "name", F.lit("</td><td>Associate Professor</td><td><a href='mailto:p"), "k", F.lit("@u.edu'>mail</a></td></tr>"))
+    pages = s.groupBy("s_nationkey").agg(F.concat(F.lit("<table>"), F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("html"))  # a directory's rows make its page
+    found = H.extract_people(pages.select(F.concat(F.lit("https://u.edu/staff/"), "s_nationkey").alias("url"), "html"))
+    return found.select("url", "name", "title", F.array_join("emails", ",").alias("emails"))
+
+
+def work_types(spark, d):
+    raw = F.element_at(F.array(*[F.lit(x) for x in ("article", "preprint", "book", "")]), (F.col("doc_id") % 4 + 1).cast("int"))
+    place = F.element_at(F.array(*[F.lit(x) for x in ("journal", "repository", "conference", "Proceedings", "")]), (F.col("doc_id") % 5 + 1).cast("int"))
+    return table(spark, d, "documents").groupBy(E.work_type(raw, place).alias("work_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def match_decisions(spark, d):
+    """Fit scores, the recommended action and the reason for every vector, from scores that follow from its id."""
+    e = table(spark, d, "embeddings").select("vec_id", "label", (F.col("vec_id") % 11 / 20).alias("paper"), (F.col("vec_id") % 7 / 20).alias("semantic"), (F.col("vec_id") % 13 / 40).alias("profile"))
+    research = R.research_fit(F.col("paper"), F.col("semantic"), F.col("profile"))
+    fit = R.overall_fit((F.col("label") % 4).cast("double"), research)
+    contact = F.element_at(F.array(F.lit("high"), F.lit("medium"), F.lit("low"), F.lit(None)), (F.col("vec_id") % 4 + 1).cast("int"))
+    titles = F.transform(F.sequence(F.lit(0), F.col("vec_id") % 5), lambda i: F.concat(F.lit("T"), i.cast("string")))
+    titles = F.slice(titles, F.lit(1), (F.col("vec_id") % 5).cast("int"))
+    evidence = F.transform(titles, lambda t: F.struct(t.alias("author"), F.lit("P").alias("person"), F.lit(0.9).alias("score")))
+    return e.select("vec_id", research.alias("research"), fit.alias("overall"), R.recommended_action(F.col("label") % 4, research, contact, F.col("paper")).alias("action"), R.match_reason(titles, evidence).alias("reason"))
 
 
 def people_on_pages(spark, d):
@@ -169,7 +209,7 @@ def stream_memberships(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     stable_ids, page_titles, page_texts, page_links, url_parts, url_canonical, url_checks, text_emails, first_sentences, name_parts, name_pairs, topic_lists,
-    department_names, meaningful_titles, meaningful_titles_sql, name_findings, title_findings, people_on_pages, holdout_roles, retrieval_metrics, metric_strata,
+    department_names, meaningful_titles, meaningful_titles_sql, name_findings, title_findings, people_on_pages, people_in_directory, work_types, match_decisions, holdout_roles, retrieval_metrics, metric_strata,
     multi_positive_ndcg, authorship_weights, age_bands, institution_folds, bootstrap_delta, label_clusters, stream_windows, stream_memberships,
 )}
 
@@ -197,7 +237,7 @@ SQL = {
       q AS (SELECT a.p_partkey, b.p_partkey AS other, a.n AS x, b.n AS y, list_distinct(string_split(a.n, ' ')) AS s, list_distinct(string_split(b.n, ' ')) AS t FROM p a JOIN p b USING (p_brand) WHERE b.p_partkey % 20 = 0 AND a.p_partkey <> b.p_partkey),
       j AS (SELECT *, len(list_intersect(s, t)) / len(list_distinct(list_concat(s, t))) AS j FROM q)
       SELECT p_partkey, other, CASE WHEN x = y THEN 1.0 ELSE round(greatest(j, CASE WHEN split_part(x, ' ', 1) = split_part(y, ' ', 1) AND split_part(x, ' ', -1) = split_part(y, ' ', -1) THEN 0.9 ELSE 0 END, CASE WHEN contains(x, y) OR contains(y, x) THEN 0.88 ELSE 0 END), 4) END AS score FROM j WHERE score > 0""",
-    "age_bands": f"SELECT CASE WHEN 2024 - year <= 3 THEN '0-3' WHEN 2024 - year <= 8 THEN '4-8' ELSE '9+' END AS band, count(*) AS n FROM ({WORKS_SQL}) GROUP BY 1",
+    "age_bands": f"SELECT CASE WHEN greatest(0, 2024 - year) <= 2 THEN '0-3' WHEN greatest(0, 2024 - year) <= 7 THEN '4-8' ELSE '9+' END AS band, count(*) AS n FROM ({WORKS_SQL}) GROUP BY 1",
     "holdout_roles": f"""WITH w AS (SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY year DESC, doc_id DESC) AS n, count(*) OVER (PARTITION BY person_id) AS c FROM ({WORKS_SQL}))
       SELECT person_id, doc_id, CASE WHEN n <= 2 THEN 'proposal' WHEN n <= 4 THEN 'cv' ELSE 'profile' END AS role FROM w WHERE c - 4 >= 4""",
     "retrieval_metrics": """WITH r AS (SELECT label, ((vec_id * 7 + label) % 15) + 1 AS rank FROM embeddings), g AS (SELECT *, CASE WHEN rank <= 10 THEN 1 / log2(rank + 1) ELSE 0 END AS g FROM r),
@@ -213,7 +253,41 @@ SQL = {
     "stream_memberships": "SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, count(*) AS seen FROM events GROUP BY 1",
     "topic_lists": """SELECT doc_id, array_to_string(list_filter(u, lambda x, i: list_position(u, x) = i), '|') AS topics FROM (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[,.]'), lambda t: lower(trim(regexp_replace(t, '\\s+', ' ', 'g'), ' .;,:'))), lambda x: x <> '') AS u FROM documents)""",
     "department_names": "SELECT doc_id, nullif(left(trim(regexp_replace(text, '\\s+', ' ', 'g'), ' |-'), 200), '') AS department FROM documents",
-    "title_findings": """WITH t AS (SELECT doc_id, trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) AS t FROM documents)
-      SELECT doc_id, concat_ws(',', CASE WHEN length(t) > 320 OR len(string_split(t, ' ')) > 40 THEN 'overlong' END, CASE WHEN regexp_matches(t, '(?i)\\b(biography|currently|joined|received|obtained|earned|worked|whose|he is|she is|he was|she was)\\b') THEN 'biography_like' END,
-        CASE WHEN len(regexp_extract_all(t, '[.!?](\\s|$)')) >= 2 THEN 'multi_sentence' END) AS reasons FROM t""",
+    "title_findings": """WITH t AS (SELECT doc_id, trim(regexp_replace(unnest(string_split(text, chr(10))), '\\s+', ' ', 'g')) AS t FROM documents),
+      f AS (SELECT doc_id, t, length(t) > 320 OR len(string_split(t, ' ')) > 40 AS overlong, regexp_matches(t, '(?i)\\b(biography|currently|joined|received|obtained|earned|worked|whose|he is|she is|he was|she was)\\b') AS bio,
+              len(regexp_extract_all(t, '[.!?](\\s|$)')) >= 2 AS many, regexp_matches(lower(t), '\\b(professor|lecturer|reader|research fellow|principal investigator|dean|director)\\b') AS post,
+              regexp_matches(lower(t), '\\b(where he|where she|they were|his|her)\\b') AS prose, length(t) - length(replace(t, '.', '')) >= 2 AS dots FROM t)
+      SELECT doc_id, count(*) FILTER (overlong) AS overlong, count(*) FILTER (bio) AS biography_like, count(*) FILTER (many) AS multi_sentence,
+        sum(CASE WHEN t = '' THEN -100 WHEN lower(t) IN ('academic staff', 'faculty', 'faculty member', 'staff') THEN -20
+            ELSE 10 + 25 * post::INT - 60 * overlong::INT - 50 * (bio OR prose)::INT - 30 * dots::INT END)::BIGINT AS quality FROM f GROUP BY 1""",
+    "people_in_directory": """WITH n AS (SELECT s_nationkey, s_suppkey, 'Ann Mo' || translate(s_suppkey::VARCHAR, '0123456789', 'abcdefghij') AS name FROM supplier)
+      SELECT 'https://u.edu/staff/' || s_nationkey AS url, name, 'Associate Professor' AS title, 'p' || s_suppkey || '@u.edu' AS emails FROM n""",
+    "work_types": """WITH t AS (SELECT ['article', 'preprint', 'book', ''][doc_id % 4 + 1] AS raw, ['journal', 'repository', 'conference', 'proceedings', ''][doc_id % 5 + 1] AS src FROM documents)
+      SELECT CASE WHEN raw = 'preprint' OR src = 'repository' THEN 'preprint' WHEN src IN ('conference', 'proceedings') THEN 'conference' WHEN raw = 'article' OR src = 'journal' THEN 'journal'
+             WHEN raw || src <> '' THEN 'other' ELSE 'unknown' END AS work_type, count(*) AS n FROM t GROUP BY 1""",
+    "match_decisions": """WITH s AS (SELECT vec_id, label % 4 AS inside, (vec_id % 11) / 20 AS paper, round(greatest((vec_id % 11) / 20, (vec_id % 7) / 20, (vec_id % 13) / 40), 4) AS research, vec_id % 5 AS n FROM embeddings)
+      SELECT vec_id, research, CASE WHEN inside > 0 THEN research ELSE 0 END AS overall,
+        CASE WHEN inside <= 0 THEN 'Exclude; outside selected institution PI pool.' WHEN research <= 0 THEN 'Do not promote; no paper, semantic, or profile research-fit evidence.'
+             WHEN vec_id % 4 >= 2 THEN 'Review contact/current affiliation before outreach.' WHEN research >= 0.45 THEN 'Prioritize for manual research-fit review and possible outreach.'
+             WHEN paper > 0 THEN 'Keep as plausible research-fit candidate; inspect matched papers manually.' ELSE 'Keep as semantic/profile research-fit candidate; no paper-backtrace evidence found.' END AS action,
+        CASE WHEN n = 0 THEN 'No institution-aligned paper-backtrace evidence; scored from semantic/profile fallback'
+             ELSE 'Paper backtrace matched ' || n || ' institution-affiliated paper(s); papers: ' || array_to_string(list_slice(['T0', 'T1', 'T2'], 1, n), ' | ')
+               || '; author evidence: ' || array_to_string(list_transform(list_slice(['T0', 'T1', 'T2'], 1, n), lambda t: t || ' matched P (0.90)'), ' | ') END AS reason FROM s""",
+    "authorship_weights": f"""WITH w AS (SELECT CASE WHEN doc_id % 13 = 0 THEN 'solo' ELSE ['first', 'last', 'middle'][doc_id % 3 + 1] END AS role, doc_id % 13 + 1 AS authors, doc_id % 4 = 0 AS confirmed FROM ({WORKS_SQL})),
+      g AS (SELECT role, confirmed, CASE WHEN authors <= 4 THEN 0 WHEN authors <= 10 THEN 1 ELSE 2 END AS team, count(*) AS works FROM w GROUP BY ALL),
+      grid AS (SELECT *, NOT (a = 1 AND b = 1 AND c = 1 AND s = 1 AND m = 1 AND l = 1) AS differs FROM (SELECT unnest([0.75, 1, 1.25, 1.5]) AS a), (SELECT unnest([0.75, 1, 1.25, 1.5]) AS b), (SELECT unnest([1, 1.25, 1.5, 2]) AS c),
+        (SELECT unnest([1, 1.25, 1.5]) AS s), (SELECT unnest([0.75, 1]) AS m), (SELECT unnest([0.5, 0.75, 1]) AS l)),
+      cfg AS (SELECT *, row_number() OVER (ORDER BY differs, a, b, c, s, m, l) - 1 AS config FROM grid),
+      x AS (SELECT config, works, greatest(0.5, least(2.5, CASE role WHEN 'solo' THEN s WHEN 'first' THEN a WHEN 'last' THEN b ELSE 1 END
+              * CASE WHEN confirmed THEN c WHEN role = 'middle' AND team = 1 THEN m WHEN role = 'middle' AND team = 2 THEN l ELSE 1 END))::DOUBLE AS weight FROM g, cfg)
+      SELECT config, round(sum(weight * works), 6) AS total, max(weight) AS most FROM x GROUP BY 1""",
 }
+
+_MEANINGFUL = """WITH t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(unnest(string_split(text, chr(10))), '\\s+', ' ', 'g'), '\\s+([,.;:!?])', '\\1', 'g')) AS t FROM documents),
+  f AS (SELECT doc_id, length(t) >= 8 AND regexp_matches(t, '\\pL') AND trim(lower(t), ' .,:;') NOT IN (LABELS)
+          AND NOT regexp_matches(lower(t), '^(view|show|load|see|browse) (all )?(more )?(publications?|research outputs?|results?)$')
+          AND NOT regexp_matches(lower(t), '^(research outputs?|prize|activity|press ?/ ?media) ?:') AND NOT regexp_matches(lower(t), '^project ?: ?(knowledge transfer|research project)$')
+          AND (doc_id % 5 = 0 OR regexp_matches(t, '\\b(19|20)[0-9]{2}\\b') OR regexp_matches(lower(t), '\\b10[.][0-9]{4,9}/[-._;()/:a-z0-9]')
+               OR NOT (regexp_matches(lower(t), '^https?://') OR regexp_matches(lower(t), '^(www[.])?[a-z0-9-]+([.][a-z]{2,})+(/[^ ]*)?$') OR regexp_matches(lower(t), '^[0-9][0-9,]* (journal articles?|articles?|books?|book chapters?|papers?)$'))) AS ok FROM t)
+  SELECT doc_id, count(*) AS lines, count(*) FILTER (ok) AS meaningful FROM f GROUP BY 1""".replace("LABELS", ", ".join(f"'{x}'" for x in vocabulary.LIST_LABELS))
+SQL |= {"meaningful_titles": _MEANINGFUL, "meaningful_titles_sql": _MEANINGFUL}

@@ -6,6 +6,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,6 +291,73 @@ def test_people_from_html(spark):
     assert H.dedupe_people(H.extract_people(pages)).count() == 3
 
 
+#: Literals that settle the decisions: labels that aren't works, and works that look like labels.
+REFUSED = [
+    ("Research output: Contribution to journal › Articles › peer-review", None), ("Conference Presentations", None), ("Journal Publications and Reviews", None),
+    ("Prize: Awards/ Prizes/ Honours", None), ("Activity: Talk or Presentation › Invited Talks", None), ("Press/Media: Media Coverage", None), ("1 item of Media coverage", None),
+    ("ZHANG, L.", "https://example.edu/en/persons/lei-zhang/"), ("https://scholar.google.com/citations?user=example", None), ("www.yangliuresearch.com", None),
+    ("1 Authored play, poem, novel, story (Book chapter or short passage)", "https://example.edu/person/publications/?type=chapter"),
+    ("Notable publications", None), ("Selected publication", None), ("Publication", None), ("3 Edited book (editor)", None), ("4 Textbook (author)", None), ("5 Comment/debate", None),
+    ("12/03/2019 → 14/03/2019", None), ("# denotes equal contribution", None), ("2 Theses / Dissertations", None), ("7 Conference Papers (refereed)", None),
+    ("9 things on a facet", "https://e.edu/x/publications/?page=2&type=article"),
+]
+WORKS = [("3D Printing of Patient-Specific Implants", None), ("12 Angry Men and the Law of Jury Deliberation", None), ("3 Articles that Changed Competition Law", None), ("2 Books (a history)", None)]
+
+
+def test_literal_labels_and_works(spark):
+    P.register(spark)
+    df = spark.createDataFrame([(t, u, False) for t, u in REFUSED] + [(t, u, True) for t, u in WORKS], "t string, u string, want boolean").withColumn("n", F.lit(None).cast("string"))
+    own = P.is_meaningful_publication(F.col("t"), F.col("n"), F.lit(None).cast("int"), F.col("n"), F.col("u"))
+    for r in df.select("t", "want", own.alias("a"), F.expr("publication_is_meaningful(t, n, null, n, u)").alias("b")).collect():
+        assert (r.a, r.b) == (r.want, r.want), r.t
+
+
+@pytest.mark.parametrize("position,count,corresponding,want", [
+    ("first", 1, False, 1.5), ("first", 3, False, 1.25), ("last", 3, True, 3.0 / 2 * 1.5), ("middle", 7, False, 0.75), ("middle", 20, False, 0.5), ("middle", 20, True, 1.5), (None, 20, False, 1.0), ("editor", 7, False, 1.0),
+])
+def test_authorship_weight_literals(spark, position, count, corresponding, want):
+    c = {k: F.lit(v) for k, v in {"first": 1.25, "last": 1.5, "corresponding": 1.5, "solo": 1.5, "medium": 0.75, "large": 0.5}.items()}
+    role = E.author_role(F.lit(position).cast("string"), F.lit(count))
+    got = spark.range(1).select(E.publication_weight(role, F.lit(corresponding), E.author_count_band(F.lit(count)), c)).first()[0]
+    assert got == want
+
+
+def test_weight_grid_and_age_bands_literals(spark):
+    configs = E.weight_configs(spark)
+    assert configs.count() == 1152 and configs.where("config = 0").select("first", "last", "corresponding", "solo", "medium", "large").first() == (1.0,) * 6
+    assert configs.where("config > 0 and first = 1 and last = 1 and corresponding = 1 and solo = 1 and medium = 1 and large = 1").count() == 0
+    ages = spark.createDataFrame([(2030, "0-3"), (2024, "0-3"), (2022, "0-3"), (2021, "4-8"), (2017, "4-8"), (2016, "9+")], "y int, want string")
+    assert all(r.want == r.got for r in ages.select("want", E.age_band(F.col("y"), F.lit(2024)).alias("got")).collect())
+    assert [one(spark, lambda c: E.work_type(c, F.lit(p)), r) for r, p in (("preprint", "journal"), ("article", "repository"), ("article", "conference"), ("article", None), ("book", None), (None, None), ("book", "journal"))] == [
+        "preprint", "preprint", "conference", "journal", "other", "unknown", "journal"]
+
+
+def test_block_pages(spark):
+    pages = ["<html>_Incapsula_Resource Request unsuccessful</html>", "<script src='/_Incapsula_Resource'></script><body onload=x>  </body>", "The requested page is currently unavailable; the site is processing for you",
+             "<body>Prove you are no robot: captcha, access denied</body>", "<body>_Incapsula_Resource and text</body>", None]
+    want = ["blocked_interstitial:incapsula"] * 2 + ["blocked_interstitial:site_processing", None, None, None]
+    assert [one(spark, H.interstitial_reason, x) for x in pages] == want
+
+
+def test_one_se_prefers_the_faster_of_equal_storage(spark):
+    configs = spark.createDataFrame([("a", 0.90, 0.9, 100, 0.02, 2.0), ("b", 0.895, 0.9, 100, 0.02, 1.0), ("c", 0.89, 0.9, 100, 0.02, 1.0)], "config string, ndcg double, recall double, bytes long, se double, query_ms double")
+    assert rows(E.select_one_se(configs)) == [("b", 100)]
+
+
+def test_clusters_hold_every_vector(spark):
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(300, 4))
+    data = [(i % 2, i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(vectors)]
+    got = E.cluster_people(spark.createDataFrame(data, "g int, k int, v array<double>"), "g", "k", "v", 40).collect()
+    assert len(got) == 300 and all(0 <= r.cluster < 12 for r in got)
+
+
+def test_star_edges_join_what_pairs_join(spark):
+    keys = spark.createDataFrame([(1, p, "email", v) for p, v in ((1, "a"), (2, "a"), (3, "a"), (3, "b"), (4, "b"), (5, "c"))], "institution_id int, person_id int, kind string, value string")
+    assert rows(I.groups(I.shared_key_edges(keys)), "node") == rows(I.groups(I.candidate_pairs(keys)), "node")
+    assert I.shared_key_edges(keys).count() == 3
+
+
 def test_evaluation_math(spark):
     assert E.folds([("a", 5), ("b", 4), ("c", 3), ("d", 1)], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
     mean, low, high = E.paired_bootstrap([0.1, 0.2, 0.3], 200)
