@@ -44,25 +44,31 @@ class Encoder:
 
     def _encode(self, pieces: list[str]) -> None:
         """Adds pieces to the memo; a closing full stop or comma after a letter is a pre-token of its own."""
-        memo, stems = self.memo, {}
+        memo, stops = self.memo, []
+        merge, plain, needed = self.library.model.tokenize, [], set()
         for p in pieces:
-            cut = p[-1:] in ".," and p[-2:-1].isalpha() and p[-2:-1].isascii()
-            stems[p] = (p[:-1], p[-1]) if cut else (p, "")
-        merge, plain = self.library.model.tokenize, []
-        for x in {y for pair in stems.values() for y in pair if y}:
+            if p and p[-1] in ".," and p[-2:-1].isalpha() and p[-2:-1].isascii():
+                stops.append(p)
+                needed.add(p[:-1])
+                needed.add(p[-1])
+            elif p:
+                needed.add(p)
+        for x in needed:
             if x in memo:
                 continue
-            if (x[1:] if x[0] == " " else x).isalpha():  # one pre-token
-                memo[x] = array("I", [t.id for t in merge(x.encode().decode("latin-1").translate(_SHOWN))]).tobytes()
+            if x.isalpha() or x[0] == " " and x[1:].isalpha():  # one pre-token
+                shown = "\u0120" + x[1:] if x[0] == " " else x  # how byte-level pre-tokenizers show a space
+                if not x.isascii():
+                    shown = x.encode().decode("latin-1").translate(_SHOWN)
+                memo[x] = array("I", [t.id for t in merge(shown)]).tobytes()
             elif _ODD.search(x, 1) or x == " " or (x[0] != " " and x[0].isspace()) or self.special.search(x):
                 memo[x] = array("I", self.library.encode(x, add_special_tokens=False).ids).tobytes()
             else:
                 plain.append(x)
         for at in range(0, len(plain), 4096):
             self._encode_plain(plain[at : at + 4096])
-        for p, (stem, stop) in stems.items():
-            if stop:
-                memo[p] = memo[stem] + memo[stop]
+        for p in stops:
+            memo[p] = memo[p[:-1]] + memo[p[-1]]
 
     def _encode_plain(self, pieces: list[str]) -> None:
         """Pieces without inner white space: the library splits them in one go, line breaks between them, and merges each pre-token."""
@@ -104,18 +110,25 @@ class Encoder:
         before[np.searchsorted(begin, starts)] = 0  # what stands before a text isn't part of it
         spaced = before == 0x20
         keys = textvec.span_hashes(data, begin, end) ^ np.where(spaced, _SPACED, np.uint64(0))
-        at, size = self.table.find(keys)
+        # Distinct keys in ascending order: their searches stay near each other in memory.
+        order = np.argsort(keys)
+        ranked = keys[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), ranked[1:] != ranked[:-1])))
+        own = ranked[first]
+        at, size = self.table.find(own)
         if (unknown := np.flatnonzero(at < 0)).size:
-            _, first = np.unique(keys[unknown], return_index=True)
-            new = unknown[first]
+            new = order[first[unknown]]
             raw = data.tobytes()
             words = [raw[a:b].decode() for a, b in zip(begin[new].tolist(), end[new].tolist())]
             pieces = [" " + w if s else w for w, s in zip(words, spaced[new].tolist())]
             if len(self.memo) > STEMS:
                 self.memo.clear()
             self._encode(pieces)
-            self.table.add(keys[new], [self.memo[p] for p in pieces])
-            at[unknown], size[unknown] = self.table.find(keys[unknown])
+            self.table.add(own[unknown], [self.memo[p] for p in pieces])
+            at[unknown], size[unknown] = self.table.find(own[unknown])
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.repeat(np.arange(len(own)), np.diff(np.append(first, len(keys))))
+        at, size = at[place], size[place]
         # Each word, with the id of the line break before it if there is one.
         units, lengths = np.zeros(2 * len(at), np.int64), np.zeros(2 * len(at), np.int64)
         units[1::2], lengths[1::2] = at, size
