@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliograph.runtime import saved
+from heliograph.runtime import discard, saved
 
 #: Which shared key decides, in order, and what the decision is called.
 RULES = {
@@ -59,13 +59,15 @@ def groups(pairs: DataFrame, left: str = "left", right: str = "right") -> DataFr
     edges = saved(pairs.select(F.col(left).alias("a"), F.col(right).alias("b")).unionByName(pairs.select(F.col(right).alias("a"), F.col(left).alias("b"))).distinct(), "identity-edges")
     labels = saved(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), "identity-labels")
     while True:
-        near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        near = edges.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         spread = labels.join(near, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("root").alias("far"))
         moved = saved(spread.join(jump, "next", "left").select("node", "was", F.least("next", F.coalesce("far", "next")).alias("root")), "identity-labels")
-        labels = moved.select("node", "root")
+        discard(labels)
+        labels = moved
         if moved.where("was <> root").isEmpty():
-            return labels
+            discard(edges)
+            return labels.select("node", "root")
 
 
 def resolve_aliases(aliases: DataFrame, rounds: int = 32) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -47,10 +48,13 @@ def ship_code(spark: SparkSession) -> None:
 def workspace(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, a laptop) a folder of this machine stands in for it.
+    Only where that setting is absent and everything runs in this process (tests, a laptop) a folder
+    of this machine stands in for it; on a cluster its absence is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = getattr(spark.sparkContext, "_heliograph_workspace", None)
         if base is None:
             base = tempfile.mkdtemp(prefix="heliograph-")
@@ -69,4 +73,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._heliograph_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that `saved` wrote, once nothing reads them any more."""
+    for df in frames:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._heliograph_path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)

@@ -121,3 +121,25 @@ def test_page_publications_against_brute_force(spark, tmp_path):
         want |= {(source, pos, key) for key, pos in sorted(seen.items(), key=lambda x: x[1])[:500]}
     got = rows(catalog.queries()["page_publications"](spark, str(tmp_path)))
     assert len(got) == len(want) and set(got) == want
+
+
+def test_workspace_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from heliograph.runtime import workspace
+
+    fake = lambda master, folder: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: folder), sparkContext=SimpleNamespace(master=master, _heliograph_workspace="/tmp/here"))
+    assert workspace(fake("local[4]", None)) == workspace(fake("local", None)) == "/tmp/here" and workspace(fake("spark://a:1", "/shared/")) == "/shared"
+    for master in ("spark://a:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            workspace(fake(master, None))
+
+
+def test_discarded_tables_are_gone(spark):
+    from heliograph.runtime import discard, saved
+
+    table = saved(spark.range(5).toDF("x"), "gone")
+    assert table.count() == 5
+    discard(table)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(table._heliograph_path)
