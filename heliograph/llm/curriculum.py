@@ -93,7 +93,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share=SHARE, cap: int = CAP, schedules
     goals = targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, cap)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0))).join(
-        F.broadcast(goals).withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))
+        goals.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))
     ).select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), "offset", "source_size", "slot", "target")
     same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket"))
     inside = Window.partitionBy("source", "bucket").orderBy("place", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, -1)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from heliograph.llm import textvec
 from heliograph.llm.common import text_of
-from heliograph.runtime import saved, ship_code
+from heliograph.runtime import discard, saved, ship_code
 
 WORDS = 5
 HOT_BITS = 18
@@ -335,13 +335,15 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("node").alias("a"), F.col("hub").alias("b"))).distinct(), "jaccard-edges")
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("comp")), "jaccard-labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
+        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         spread = labels.join(near, "node").select("node", F.col("comp").alias("was"), F.least("comp", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("comp").alias("far"))
         moved = saved(spread.join(jump, "next", "left").select("node", "was", F.least("next", F.coalesce("far", "next")).alias("comp")), "jaccard-labels")
-        labels = moved.select("node", "comp")
+        discard(labels)
+        labels = moved
         if moved.where("was <> comp").isEmpty():
-            return labels
+            discard(both)
+            return labels.select("node", "comp")
 
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
