@@ -122,8 +122,8 @@ def experiment_counts(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def inverse_frequencies(counts: DataFrame, key: str, total: Column) -> DataFrame:
-    """(term, idf): ln((1 + N) / (1 + df)) + 1."""
-    df = counts.groupBy("term").agg(F.count_distinct(key).alias("df"))
+    """(term, idf): ln((1 + N) / (1 + df)) + 1. `counts` has one row for each key and term."""
+    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return df.select("term", (F.log((1 + total) / (1 + F.col("df"))) + 1).alias("idf"))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from heliograph.plans import lifecycle, records, relational, retrieval, texts
+from heliograph.plans import lifecycle, profiles, records, relational, retrieval, texts
 
-_MODULES = [retrieval, relational, lifecycle, texts, records]
+_MODULES = [retrieval, relational, lifecycle, texts, records, profiles]
 
 
 def queries():
