@@ -30,7 +30,7 @@ MAX_LABELLED = 10_000
 MAX_RULES = 500
 BUCKETS = 1 << 14
 
-#: The small labelled table: hosts of general kinds, compiled without reference to any table of pages. label 1: unwanted.
+#: The small labelled table: hosts of general kinds, none of them from a table of pages. label 1: unwanted.
 LABELLED_HOSTS = Path(__file__).with_name("labelled_hosts.csv")
 PREFIXES = ["", "www.", "m.", "blog."]
 PATHS = ["/", "/en/12", "/fr/845.html", "/de/3?page=2&ref=x", "/es/77/", "/news/today", "/about"]
