@@ -18,8 +18,8 @@ Sets are nodes: documents with equal sets are one node from the start. A group o
 signature is never expanded into all its pairs. Its task compares bit parities (an exact lower bound
 of the difference, with bits in proportion to the set), takes what passes as linked for the moment,
 and so proposes about one pair for each node that it adds to a component. Every proposed pair is
-verified on the documents' own words. Pairs that turn out not to be linked go back to their groups,
-which propose others in the next round, eight times as many for two components that a proposal
+verified on the documents' own words. Pairs that turn out not to be linked go back to the groups that
+proposed them, which propose others in the next round, eight times as many for two components that a proposal
 failed to join. It ends when no group has a pair of different components left that could be linked.
 Groups of more than BLOCK nodes are dealt to tasks by blocks: each block alone in the first round,
 pairs of blocks while parts of them are still in different components.
@@ -48,6 +48,7 @@ SMALL = 6  # groups up to this size are compared by array operations over all of
 QUOTA = 8  # how much faster proposals between two components grow from round to round
 HOT_TOKENS = 1 << 21
 SEEN_NODES = 1 << 19
+SENT_IDS = 1 << 18  # documents whose ids are broadcast at most, so that other texts aren't shuffled
 
 
 def differences(n: int) -> int:
@@ -298,6 +299,9 @@ def verified(pairs: DataFrame, known: DataFrame, docs: DataFrame) -> DataFrame:
     heads = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("hub").alias("node"), F.lit(0).alias("role"))
     roles = members.unionByName(heads).join(known.select("node", "rep"), "node")
     texts = docs.select(F.col("doc_id").alias("rep"), text_of("text").alias("text"))
+    asked = saved(roles.select("rep").distinct(), "jaccard-asked")
+    if asked.count() <= SENT_IDS:
+        texts = texts.join(F.broadcast(asked), "rep", "left_semi")
     rows = roles.join(texts, "rep").select("hub", "chunk", "role", "node", "text")
 
     def run(batches):
@@ -447,17 +451,27 @@ def _cells(rows: DataFrame, hot: DataFrame, across: bool) -> DataFrame:
     return all_.withColumns({"cell": cell, "role": (F.col("block") != F.col("to")).cast("int")}).drop("blocks", "place", "to")
 
 
+def _apart_in_cells(apart: DataFrame, rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """(sign, cell, hub, node): the one task of its group that holds both nodes of a pair (sign, hub, node)."""
+    spot = rows.select("sign", "node", F.floor(F.col("place") / BLOCK).alias("block"))
+    first = apart.join(spot.select("sign", F.col("node").alias("hub"), F.col("block").alias("other")), ["sign", "hub"])
+    both = first.join(spot, ["sign", "node"]).join(hot, "sign", "left")
+    cell = F.least("block", "other") * F.coalesce("blocks", F.lit(1).cast("long")) + F.greatest("block", "other")
+    return both.select("sign", cell.alias("cell"), "hub", "node")
+
+
 def proposed(rows: DataFrame, known: DataFrame, hot: DataFrame, apart: DataFrame | None, quota: int) -> DataFrame:
-    """(sign, hub, node): pairs of different components to verify, of rows (sign, node, place, comp)."""
+    """(sign, hub, node): pairs of different components to verify, of rows (sign, node, place, comp).
+
+    apart, from the second round on, is (sign, hub, node): what a group proposed and isn't linked.
+    """
     ship_code(rows.sparkSession)
     celled = _cells(rows, hot, apart is not None)
     full = celled.join(known.select("node", "n_shingles", "parity", "wide"), "node")
     columns = ["sign", "cell", "role", "node", "comp", "n_shingles", "block", "parity", "wide"]
     full = full.select(columns)
     if apart is not None:
-        place = celled.select("sign", "cell", "node")
-        first = apart.join(place.withColumnRenamed("node", "hub"), "hub")
-        both = first.join(place, ["sign", "cell", "node"])
+        both = _apart_in_cells(apart, rows, hot)
         nothing = F.lit(bytes(PARITY_BITS // 8))
         full = full.unionByName(both.select(
             "sign", "cell", F.lit(-1).alias("role"), F.col("hub").alias("node"), F.col("node").alias("comp"), F.lit(0).cast("long").alias("n_shingles"),
@@ -500,19 +514,23 @@ def linked_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     shared = saved(groups(indexed(docs, heat_of(everything))), "jaccard-groups")
     hot = saved(shared.where(F.col("place") >= BLOCK).groupBy("sign").agg((F.floor(F.max("place") / BLOCK) + 1).alias("blocks")), "jaccard-hot")
-    open_, tested, labels, quota = shared.withColumn("comp", F.col("node")), None, None, 1
+    open_, tested, labels, quota, apart = shared.withColumn("comp", F.col("node")), None, None, 1, None
     while True:
-        apart = None if tested is None else tested.where("not linked").select("hub", "node")
         found = saved(proposed(open_, known, hot, apart, quota), "jaccard-proposed")
         if tested is not None and found.isEmpty():
             break
-        fresh = verified(found.select("hub", "node").distinct(), known, docs)
+        pairs = found.select("hub", "node").distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["hub", "node"], "left_anti")  # another group may have proposed it before
+        fresh = verified(saved(pairs, "jaccard-pairs"), known, docs)
         active = found.select("sign")
         if tested is None:
             active = active.unionByName(hot.select("sign"))
         else:
             fresh = fresh.unionByName(tested)
         tested = saved(fresh, "jaccard-tested")
+        failed = found.join(tested.where("not linked"), ["hub", "node"], "left_semi").select("sign", "hub", "node")
+        apart = saved(failed if apart is None else failed.unionByName(apart), "jaccard-apart")
         labels = components(tested.where("linked"))
         open_ = saved(_open(shared.join(active.distinct(), "sign", "left_semi"), labels), "jaccard-open")
         if open_.isEmpty():

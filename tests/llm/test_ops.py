@@ -870,3 +870,26 @@ def test_pipeline_stages(spark):
         assert empty.count() == 0
         if empty.columns != docs.columns:
             break
+
+
+def test_failed_pairs_return_to_the_groups_that_proposed_them(spark, monkeypatch):
+    """One row a proposal, whatever the number of groups and of failed pairs of its nodes."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 2)
+    rows = spark.createDataFrame([(s, n, n - 1) for s in range(30) for n in range(1, 6)], "sign long, node long, place long")
+    hot = spark.createDataFrame([(s, 3) for s in range(30)], "sign long, blocks long")
+    apart = spark.createDataFrame([(0, 1, n) for n in range(2, 6)] + [(7, 1, 3), (99, 1, 3)], "sign long, hub long, node long")
+    got = sorted(map(tuple, jaccard_join._apart_in_cells(apart, rows, hot).collect()))
+    assert got == [(0, 0, 1, 2), (0, 1, 1, 3), (0, 1, 1, 4), (0, 2, 1, 5), (7, 1, 1, 3)]
+
+
+@pytest.mark.parametrize("sent", [0, 100])
+def test_verification_reads_the_texts_that_pairs_name(spark, monkeypatch, sent):
+    monkeypatch.setattr(jaccard_join, "SENT_IDS", sent)
+    base = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(base[:-1])), (3, " ".join(base[20:])), (4, "other words")], "doc_id long, text string")
+    known = jaccard_join.nodes(docs).where("node is not null and n_shingles > 3").selectExpr("node", "doc_id AS rep")
+    of = {r.rep: r.node for r in known.collect()}
+    pairs = spark.createDataFrame([(of[1], of[2]), (of[1], of[3])], "hub long, node long")
+    out = jaccard_join.verified(pairs, known, docs)
+    assert {r.node: r.linked for r in out.collect()} == {of[2]: True, of[3]: False}
+    assert ("LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()) == (sent > 0)
