@@ -133,3 +133,31 @@ def test_name_findings_computes_each_form_once(spark):
     assert sorted(map(tuple, want)) == sorted(map(tuple, found.select("k", "non_person", "contaminated", "incomplete", "quality").collect()))
     plan = catalog.queries()["name_findings"](spark, DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(r"[^a-z\s]+") == 1
+
+
+def test_name_pairs_as_in_sql(spark, tmp_path):
+    """Names within names that share no word, empty ones, ranks, rare letters, keys and rows that repeat, and nulls."""
+    import pyarrow as pa
+
+    names = ["red bolt", "redbolt", "bolt", "d bo", "bol", "Red  BOLT!", "Dr. Red", "red", "red new bolt", "professor", "", "--", "İris", "iris", "Kelvin", "kelvin", "straße", "a", "screwdriver set", "xx long screwdriver setting", "re re bolt bolt", None, "customer 000123", "supercustomer 000123456"]
+    rows = [(20 * i + k, x, b) for i, x in enumerate(names) for k in (0, 7) for b in ("A", "B" if i % 2 else None)] + [(-20, "bolt", "A"), (None, "bolt", "A"), (40, "bolt", "A"), (40, "bolt", "A")]
+    part = pa.table({"p_partkey": pa.array([r[0] for r in rows], pa.int64()), "p_name": pa.array([r[1] for r in rows], pa.string()), "p_brand": pa.array([r[2] for r in rows], pa.string())})
+    got, want = against_sql(spark, tmp_path, "name_pairs", part=part)
+    assert got == want and len(want) > 400
+
+
+def test_name_pairs_scores_each_pair_of_names_once(spark, tmp_path):
+    """Copies are dealt after scoring, and a name of many parts isn't one task's."""
+    import pyarrow as pa
+
+    from heliograph.operators import identity as I
+
+    keys = [20 * i + (i % 200 > 0) for i in range(2400)]
+    part = pa.table({"p_partkey": pa.array(keys, pa.int64()), "p_name": ["red bolt", "new bolt"] * 1200, "p_brand": ["A"] * 2400})
+    got, want = against_sql(spark, tmp_path, "name_pairs", part=part)
+    assert got == want and len(want) == 12 * 2399
+    names = spark.read.parquet(f"{tmp_path}/part.parquet").selectExpr("p_partkey", "p_brand", "p_name name")
+    assert I.similar_names(names, names, "p_brand").count() == 4
+    found = spark.createDataFrame([("A", "red bolt", 1)], "p_brand string, name string, other int")
+    dealt = I.expanded(names, found, ["p_brand", "name"], most=100)
+    assert dealt.count() == 1200 and max(len(x) for x in dealt.rdd.glom().collect()) < 1200
